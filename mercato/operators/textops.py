@@ -15,3 +15,46 @@ def exact_dedup(df: DataFrame, key: str, text: str) -> DataFrame:
     An aggregate on the hash, so a text with many copies is combined map-side."""
     h = F.sha2(squeeze_lower(F.col(text)), 256)
     return df.groupBy(h.alias("text_hash")).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("n_copies"))
+
+
+SENTENCE_END = r"[.!?][ \t\n\r]+"
+
+
+def sentences_with_context(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Sentence rows with the previous and next sentence (window per document,
+    bounded by the document's sentence count)."""
+    from pyspark.sql import Window
+    s = df.select(key, F.posexplode(F.split(F.col(text), SENTENCE_END)).alias("pos", "sentence"))
+    w = Window.partitionBy(key).orderBy("pos")
+    return s.select(key, "pos", "sentence", F.lag("sentence").over(w).alias("prev_sentence"),
+                    F.lead("sentence").over(w).alias("next_sentence"))
+
+
+def words(c: Column) -> Column:
+    return F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")
+
+
+def ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """(key, pos, gram) for every n-word window of the whole text."""
+    w = words(F.col(text))
+    idx = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
+    grams = F.transform(idx, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(w, i + 1, n), " ").alias("gram")))
+    return df.select(key, F.inline(grams))
+
+
+def phrase_dictionary(bench: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """Gazetteer: the first ``n`` words of each entry, labelled by its key."""
+    w = words(F.col(text))
+    return bench.filter(F.size(w) >= n).select(F.array_join(F.slice(w, 1, n), " ").alias("gram"),
+                                               F.col(key).alias("label"))
+
+
+def context_windows(df: DataFrame, key: str, text: str, phrase: str, width: int = 65) -> DataFrame:
+    """``width`` words centred on every occurrence of ``phrase`` (one word)."""
+    w = F.split(F.col(text), r"\s+")
+    x = df.select(key, w.alias("w"), F.posexplode(w).alias("pos", "word"))
+    x = x.filter(F.lower("word") == phrase.lower())
+    half = width // 2
+    start = F.greatest(F.col("pos") - half, F.lit(0))
+    length = (F.col("pos") + half + 1 - start).cast("int")
+    return x.select(key, "pos", F.array_join(F.slice("w", start + 1, length), " ").alias("context"))

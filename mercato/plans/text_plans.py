@@ -1 +1,222 @@
-"""Placeholder."""
+"""Text plans over whole documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from mercato.functions.text import (
+    PRIORITY_ORDER, digits_to_int, first_word, normalize_text, ordinal, remove_words, size_class,
+    size_class_sql, word_count,
+)
+from mercato.operators import textops as X
+from mercato.plans.aggregation import CATALOG_VALUES
+from mercato.plans.registry import register
+from mercato.sources.tables import Tables, tracking
+
+_NORM_SQL = (r"regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(strip_accents(text), "
+             r"'[^\x01-\x7F]', '', 'g'), '^\s+|\s+$', '', 'g')), '[\n/]', ' ', 'g'), '[^\w\s]', '', 'g')")
+
+
+@register("normalized_documents", "H1", sql=f"""
+SELECT doc_id, sha256({_NORM_SQL}) AS norm_hash, length({_NORM_SQL}) AS norm_len FROM documents""")
+def normalized_documents(spark, sf):
+    d = Tables(spark, sf).documents
+    n = d.select("doc_id", normalize_text(F.col("text")).alias("norm"))
+    return n.select("doc_id", F.sha2("norm", 256).alias("norm_hash"), F.length("norm").alias("norm_len"))
+
+
+@register("title_first_word", "H2", sql="""
+SELECT p_partkey, split_part(trim(p_name), ' ', 1) AS home_type FROM part""")
+def title_first_word(spark, sf):
+    p = Tables(spark, sf).part
+    return p.select("p_partkey", first_word(F.col("p_name")).alias("home_type"))
+
+
+@register("digits_extract", "H3", sql=r"""
+SELECT doc_id, TRY_CAST(NULLIF(regexp_extract(replace(text, '.', ''), '\d+', 0), '') AS BIGINT) AS price
+FROM documents""")
+def digits_extract(spark, sf):
+    d = Tables(spark, sf).documents
+    return d.select("doc_id", digits_to_int(F.col("text")).alias("price"))
+
+
+@register("safe_ratio", "H5", sql="""
+SELECT product_id, order_id, package_size_id,
+       CASE WHEN discount = 0 THEN NULL ELSE round(price_numeric / discount, 4) END AS price_per_discount
+FROM tracking""")
+def safe_ratio(spark, sf):
+    tr = tracking(Tables(spark, sf))
+    return tr.select("product_id", "order_id", "package_size_id",
+                     F.round(F.try_divide("price_numeric", "discount"), 4).alias("price_per_discount"))
+
+
+_WORDS_RE = "|".join(sorted(CATALOG_VALUES))
+
+
+@register("remove_word_set", "H6", sql=rf"""
+SELECT p_partkey,
+  CASE WHEN len(string_split_regex(regexp_replace(p_name, '^\s+|\s+$', '', 'g'), '\s+')) > 1
+       THEN regexp_replace(regexp_replace(regexp_replace(p_name, '\b({_WORDS_RE})\b', '', 'gi'),
+                           '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g')
+       ELSE p_name END AS name_clean
+FROM part""")
+def remove_word_set(spark, sf):
+    p = Tables(spark, sf).part
+    return p.select("p_partkey", remove_words(F.col("p_name"), CATALOG_VALUES).alias("name_clean"))
+
+
+@register("size_taxonomy", "H7", sql=f"""
+SELECT size_title, {size_class_sql('size_title')} AS size_class, COUNT(*) AS n FROM tracking GROUP BY size_title""")
+def size_taxonomy(spark, sf):
+    tr = tracking(Tables(spark, sf))
+    return (tr.groupBy("size_title").agg(F.count(F.lit(1)).alias("n"))
+            .select("size_title", size_class(F.col("size_title")).alias("size_class"), "n"))
+
+
+@register("date_format_parse", "H13", sql="""
+SELECT strftime(ts, '%Y-%m-%d') AS day_label,
+       CAST(date_trunc('month', CAST(strptime(strftime(ts, '%Y-%m-%d'), '%Y-%m-%d') AS DATE)) AS DATE) AS month,
+       COUNT(*) AS n
+FROM events GROUP BY 1, 2""")
+def date_format_parse(spark, sf):
+    e = Tables(spark, sf).events
+    label = F.date_format("ts", "yyyy-MM-dd")
+    return (e.groupBy(label.alias("day_label"), F.trunc(F.to_date(label, "yyyy-MM-dd"), "MM").alias("month"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("epoch_millis_month", "H15", sql="""
+SELECT CAST(date_trunc('month', epoch_ms(epoch_us(ts) // 1000)) AS DATE) AS month, event_type, COUNT(*) AS n,
+       MAX(epoch_us(ts) // 1000) AS max_ms
+FROM events GROUP BY 1, 2""")
+def epoch_millis_month(spark, sf):
+    e = Tables(spark, sf).events.withColumn("ms", F.unix_millis("ts"))
+    return (e.groupBy(F.trunc(F.to_date(F.timestamp_millis("ms")), "MM").alias("month"), "event_type")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("ms").alias("max_ms")))
+
+
+@register("math_functions", "H16", sql="""
+SELECT catalog_id, round(SUM(ln(price_numeric)), 4) AS sum_ln_price, round(SUM(ln(1 + discount)), 6) AS sum_log1p,
+       round(SUM(abs(price_numeric - 50000)), 2) AS sum_abs_dev, round(SUM(sqrt(view_count)), 4) AS sum_sqrt_views,
+       round(SUM(power(discount, 2)), 6) AS sum_sq_discount,
+       round(SUM(greatest(0, price_numeric - 50000)), 2) AS sum_relu
+FROM tracking GROUP BY catalog_id""")
+def math_functions(spark, sf):
+    tr = tracking(Tables(spark, sf))
+    return tr.groupBy("catalog_id").agg(
+        F.round(F.sum(F.ln("price_numeric")), 4).alias("sum_ln_price"),
+        F.round(F.sum(F.log1p("discount")), 6).alias("sum_log1p"),
+        F.round(F.sum(F.abs(F.col("price_numeric") - 50000)), 2).alias("sum_abs_dev"),
+        F.round(F.sum(F.sqrt("view_count")), 4).alias("sum_sqrt_views"),
+        F.round(F.sum(F.pow("discount", 2)), 6).alias("sum_sq_discount"),
+        F.round(F.sum(F.greatest(F.lit(0.0), F.col("price_numeric") - 50000)), 2).alias("sum_relu"))
+
+
+@register("ordinal_priority", "H18", sql="""
+SELECT o_orderpriority, CASE o_orderpriority """ + " ".join(
+    f"WHEN '{v}' THEN {i}" for i, v in enumerate(PRIORITY_ORDER)) + """ END AS priority_rank, COUNT(*) AS n
+FROM orders GROUP BY o_orderpriority""")
+def ordinal_priority(spark, sf):
+    o = Tables(spark, sf).orders
+    return (o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+            .select("o_orderpriority", ordinal(F.col("o_orderpriority"), PRIORITY_ORDER).alias("priority_rank"),
+                    "n"))
+
+
+@register("premium_target", "H20", sql="""
+WITH q AS (SELECT quantile_cont(price_numeric, 0.8) AS q80 FROM tracking)
+SELECT catalog_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE price_numeric > q.q80) AS n_premium
+FROM tracking, q GROUP BY catalog_id""")
+def premium_target(spark, sf):
+    tr = tracking(Tables(spark, sf))
+    q80 = tr.select(F.percentile("price_numeric", 0.8)).scalar()  # computed once, not per row
+    return tr.groupBy("catalog_id").agg(F.count(F.lit(1)).alias("n"),
+                                        F.count_if(F.col("price_numeric") > q80).alias("n_premium"))
+
+
+_SENT = r"[.!?][ \t\n\r]+"
+
+
+@register("sentence_context", "H23", sql=rf"""
+WITH l AS (SELECT doc_id, string_split_regex(text, '{_SENT}') AS l FROM documents),
+s AS (SELECT doc_id, unnest(l) AS sentence, CAST(unnest(range(len(l))) AS INTEGER) AS pos FROM l)
+SELECT doc_id, pos, sentence, lag(sentence) OVER w AS prev_sentence, lead(sentence) OVER w AS next_sentence
+FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY pos)""")
+def sentence_context(spark, sf):
+    return X.sentences_with_context(Tables(spark, sf).documents, "doc_id", "text")
+
+
+@register("context_window_65", "H24", sql=r"""
+WITH w AS (SELECT doc_id, string_split_regex(text, '\s+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(w) AS word, CAST(unnest(range(len(w))) AS INTEGER) AS pos FROM w)
+SELECT doc_id, pos, array_to_string(w[greatest(pos - 32, 0) + 1 : pos + 33], ' ') AS context
+FROM p WHERE lower(word) = 'that'""")
+def context_window_65(spark, sf):
+    return X.context_windows(Tables(spark, sf).documents, "doc_id", "text", "that", 65)
+
+
+_WORDS_SQL = r"list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')"
+
+
+@register("gazetteer_tagging", "H25", sql=f"""
+WITH w AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+g AS (SELECT doc_id, array_to_string(w[i + 1 : i + 3], ' ') AS gram
+      FROM w, LATERAL (SELECT unnest(range(0, len(w) - 2)) AS i)),
+b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+d AS (SELECT array_to_string(w[1:3], ' ') AS gram, item_id AS label FROM b WHERE len(w) >= 3)
+SELECT d.label, COUNT(*) AS n_hits, COUNT(DISTINCT g.doc_id) AS n_docs
+FROM g JOIN d ON g.gram = d.gram GROUP BY d.label""")
+def gazetteer_tagging(spark, sf):
+    t = Tables(spark, sf)
+    grams = X.ngrams(t.documents, "doc_id", "text", 3)
+    dictionary = X.phrase_dictionary(t.benchmark, "item_id", "text", 3)
+    return (grams.join(dictionary, "gram").groupBy("label")
+            .agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("doc_id").alias("n_docs")))
+
+
+@register("corpus_length_stats", "H26", sql=r"""
+SELECT lang, COUNT(*) AS n_docs, CAST(SUM(len(string_split_regex(trim(text), '\s+'))) AS BIGINT) AS total_words,
+       round(AVG(len(string_split_regex(trim(text), '\s+'))), 4) AS mean_words,
+       round(AVG(length(text)), 4) AS mean_chars
+FROM documents GROUP BY lang""")
+def corpus_length_stats(spark, sf):
+    d = Tables(spark, sf).documents.withColumn("nw", word_count(F.col("text")))
+    return d.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("nw").cast("bigint").alias("total_words"),
+                                 F.round(F.avg("nw"), 4).alias("mean_words"),
+                                 F.round(F.avg(F.length("text")), 4).alias("mean_chars"))
+
+
+@register("token_corpus_stats", "E32", sql=f"""
+WITH t AS (SELECT lang, unnest({_WORDS_SQL}) AS tok FROM documents),
+c AS (SELECT lang, tok, COUNT(*) AS n FROM t GROUP BY lang, tok)
+SELECT lang, CAST(SUM(n) AS BIGINT) AS n_tokens, COUNT(*) AS n_unique,
+       round(SUM(n * length(tok)) / SUM(n), 4) AS mean_token_len,
+       first(tok ORDER BY n DESC, tok) AS top_token, MAX(n) AS top_freq
+FROM c GROUP BY lang""")
+def token_corpus_stats(spark, sf):
+    d = Tables(spark, sf).documents
+    t = d.select("lang", F.explode(X.words(F.col("text"))).alias("tok"))
+    c = t.groupBy("lang", "tok").agg(F.count(F.lit(1)).alias("n"))
+    return c.groupBy("lang").agg(
+        F.sum("n").cast("bigint").alias("n_tokens"), F.count(F.lit(1)).alias("n_unique"),
+        F.round(F.sum(F.col("n") * F.length("tok")) / F.sum("n"), 4).alias("mean_token_len"),
+        F.min_by("tok", F.struct(-F.col("n"), F.col("tok"))).alias("top_token"), F.max("n").alias("top_freq"))
+
+
+@register("near_duplicate_documents", "G9")
+def near_duplicate_documents(spark, sf):
+    from mercato.operators.neardup import near_duplicates
+    return near_duplicates(Tables(spark, sf).documents, "doc_id", "text", shingle=5, bands=16, rows=4,
+                           threshold=0.7)
+
+
+@register("conversation_dedup", "G8", sql="""
+SELECT conv_id, turn, role, text FROM (
+  SELECT *, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prev FROM conversations)
+WHERE prev IS NULL OR prev <> text""")
+def conversation_dedup(spark, sf):
+    """Ordered conversations: drop turns repeating the previous turn's text."""
+    c = Tables(spark, sf).conversations
+    prev = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    return c.withColumn("prev", prev).filter(F.col("prev").isNull() | (F.col("prev") != F.col("text"))).drop("prev")
