@@ -31,3 +31,42 @@ def asset_covariance(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
             entries.append(F.struct(F.lit(b).alias("asset_a"), F.lit(a).alias("asset_b"),
                                     F.col(f"{i}").alias("cov")))
     return row.select(F.inline(F.array(*entries)))
+
+
+def asset_stats(prices: DataFrame) -> DataFrame:
+    return prices.groupBy("asset").agg(F.median("price").alias("med"), F.percentile("price", 0.05).alias("q05"))
+
+
+def basket_metrics(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
+    """Every non-empty 0/1 basket over the k assets (basket id bit i = asset i):
+    revenue = w.median, volatility = sqrt(w' S w), VaR = w.(median - q05),
+    Sharpe = revenue / volatility, plus the equal-weight benchmark ratio.
+    The k asset statistics and the k x k covariance ride along as arrays on
+    one row; baskets are generated from it, so nothing is joined pairwise."""
+    assets = sorted(assets)
+    k = len(assets)
+    st = asset_stats(prices).agg(F.sort_array(F.collect_list(F.struct("asset", "med", "q05"))).alias("st"))
+    cov = asset_covariance(prices, assets)
+    cm = cov.select(F.sort_array(F.collect_list(F.struct("asset_a", "asset_b", "cov")))).scalar()
+    base = st.withColumn("cm", cm).select("st", "cm", F.explode(F.sequence(F.lit(1), F.lit(2 ** k - 1))).alias("pid"))
+    idx = F.sequence(F.lit(0), F.lit(k - 1))
+    w = lambda i: F.floor(F.col("pid") / F.pow(F.lit(2.0), i)) % 2  # bit i of the basket id
+    med = lambda i: F.get(F.col("st"), i)["med"]
+    q05 = lambda i: F.get(F.col("st"), i)["q05"]
+    cv = lambda i, j: F.get(F.col("cm"), i * k + j)["cov"]
+
+    def sum_over(f):
+        return F.aggregate(F.transform(idx, f), F.lit(0.0), lambda acc, x: acc + x)
+
+    rev = sum_over(lambda i: w(i) * med(i))
+    var = sum_over(lambda i: sum_over(lambda j: w(i) * w(j) * cv(i, j)))
+    var_naive = sum_over(lambda i: sum_over(lambda j: cv(i, j)))
+    rev_naive = sum_over(lambda i: med(i))
+    value_at_risk = sum_over(lambda i: w(i) * (med(i) - q05(i)))
+    sharpe = rev / F.sqrt(var)
+    naive = rev_naive / F.sqrt(var_naive)
+    return base.select(F.col("pid").cast("bigint").alias("pid"), F.round(rev, 4).alias("revenue"),
+                       F.round(F.sqrt(var), 4).alias("volatility"), F.round(value_at_risk, 4).alias("value_at_risk"),
+                       F.round(sharpe, 6).alias("sharpe"),
+                       sum_over(lambda i: w(i)).cast("bigint").alias("n_assets"),
+                       F.round(sharpe / naive, 6).alias("relative_sharpe"))
