@@ -1 +1,52 @@
-"""Placeholder."""
+"""Streaming plans: each runs the stream to completion with
+``availableNow`` and returns its final image; the SQL oracle is the batch twin."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from mercato.plans.registry import register
+from mercato.streaming import jobs as J
+
+
+@register("stream_hourly_windows", "L1+L2+L3+L4+L5", sql="""
+SELECT date_trunc('hour', ts) AS window_start, event_type, COUNT(*) AS n, round(SUM(value), 4) AS value
+FROM (SELECT DISTINCT ON (event_id) * FROM events) GROUP BY 1, 2""")
+def stream_hourly_windows(spark, sf):
+    s = J.deduplicated(J.events_stream(spark, sf))
+    return J.run_upsert_stream(J.hourly_windows(s), "hourly", ["window_start", "event_type"])
+
+
+@register("stream_sliding_trend", "L9", sql="""
+WITH w AS (SELECT date_trunc('day', ts) - k * INTERVAL 1 DAY AS window_start, event_type, value
+           FROM events, (SELECT unnest(range(0, 7)) AS k))
+SELECT window_start, event_type, COUNT(*) AS n, round(AVG(value), 6) AS mean_value FROM w GROUP BY 1, 2""")
+def stream_sliding_trend(spark, sf):
+    s = J.events_stream(spark, sf).withWatermark("ts", "1 day")
+    return J.run_upsert_stream(J.sliding_trend(s), "sliding", ["window_start", "event_type"])
+
+
+@register("stream_user_state", "L6")
+def stream_user_state(spark, sf):
+    s = J.user_state_stream(J.events_stream(spark, sf))
+    return J.run_upsert_stream(s, "user_state", ["user_id"])
+
+
+@register("user_state_batch_twin", "L6+L8", sql="""
+SELECT user_id, COUNT(*) AS n, MIN(ts) AS first_seen, MAX(ts) AS last_seen, arg_max(value, ts) AS last_value
+FROM events GROUP BY user_id""")
+def user_state_batch_twin(spark, sf):
+    return J.user_state_batch(J.events_batch(spark, sf))
+
+
+@register("backfill_hourly_windows", "L8", sql="""
+SELECT date_trunc('hour', ts) AS window_start, event_type, COUNT(*) AS n, round(SUM(value), 4) AS value
+FROM (SELECT DISTINCT ON (event_id) * FROM events) GROUP BY 1, 2""")
+def backfill_hourly_windows(spark, sf):
+    """Backfill from the raw layer: the stream's transform on a batch read."""
+    return J.hourly_windows(J.deduplicated(J.events_batch(spark, sf), streaming=False))
+
+
+@register("stream_fan_out", "L7")
+def stream_fan_out(spark, sf):
+    return J.fan_out(J.events_stream(spark, sf), "fanout").select("table", F.col("n").cast("bigint").alias("n"))
