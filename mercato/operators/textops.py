@@ -58,3 +58,48 @@ def context_windows(df: DataFrame, key: str, text: str, phrase: str, width: int
     start = F.greatest(F.col("pos") - half, F.lit(0))
     length = (F.col("pos") + half + 1 - start).cast("int")
     return x.select(key, "pos", F.array_join(F.slice("w", start + 1, length), " ").alias("context"))
+
+
+# Inline annotation markup ``[entity text](Label)``, optional space before "(".
+MARKUP = r"\[([^\]]+)\]\s?\(([^)]+)\)"
+
+
+def annotate_spans(df: DataFrame, text: str = "text") -> DataFrame:
+    """Strip ``[text](Label)`` markup and emit half-open code-point spans into
+    the cleaned text, plus a validity flag (every span slices back to its text).
+    All array work is per row; nothing is paired across rows."""
+    pieces = F.split(F.col(text), MARKUP)
+    ents = F.regexp_extract_all(F.col(text), F.lit(MARKUP), 1)
+    labels = F.regexp_extract_all(F.col(text), F.lit(MARKUP), 2)
+    k = F.size(ents)
+    idx = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
+    clean = F.aggregate(idx, F.get(pieces, 0), lambda acc, i: F.concat(acc, F.get(ents, i), F.get(pieces, i + 1)))
+
+    def start(i):
+        before_p = F.aggregate(F.slice(pieces, 1, i + 1), F.lit(0), lambda a, p: a + F.length(p))
+        before_e = F.aggregate(F.slice(ents, 1, i), F.lit(0), lambda a, e: a + F.length(e))
+        return before_p + before_e
+
+    spans = F.transform(idx, lambda i: F.struct(start(i).alias("start"),
+                                                (start(i) + F.length(F.get(ents, i))).alias("end"),
+                                                F.get(labels, i).alias("label"), F.get(ents, i).alias("text")))
+    out = df.withColumn("clean_text", clean).withColumn("spans", spans)
+    valid = F.forall("spans", lambda s: F.substring(F.col("clean_text"), s["start"] + 1, s["end"] - s["start"])
+                     == s["text"])
+    return out.withColumn("spans_valid", valid)
+
+
+def bio_tags(df: DataFrame, key: str, text: str = "clean_text", spans: str = "spans") -> DataFrame:
+    """Whitespace tokens with offsets and B-/I-/O tags from the spans.  Offsets
+    come from a running sum over the document's tokens; each token looks up its
+    span in the document's (small) span array."""
+    from pyspark.sql import Window
+    t = df.select(key, spans, F.posexplode(F.split(F.col(text), " ")).alias("pos", "token"))
+    w = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("offset", F.coalesce(F.sum(F.length("token") + 1).over(w), F.lit(0)))
+    hit = F.get(F.filter(spans, lambda s: (s["start"] <= F.col("offset")) & (F.col("offset") < s["end"])), 0)
+    lab = F.regexp_replace(hit["label"], " ", "_")
+    tag = (F.when(hit.isNull() | (F.col("token") == ""), F.lit("O"))
+           .when(hit["start"] == F.col("offset"), F.concat(F.lit("B-"), lab))
+           .otherwise(F.concat(F.lit("I-"), lab)))
+    return t.select(key, "pos", "token", "offset", tag.alias("tag"))

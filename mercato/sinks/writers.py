@@ -40,6 +40,8 @@ def upsert_partitions(incoming: DataFrame, path: str, keys: Sequence[str], order
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         existing = spark.read.parquet(path)
+        # Partition values come back type-inferred; align them with the incoming type.
+        existing = existing.withColumn(partition_col, F.col(partition_col).cast(dict(incoming.dtypes)[partition_col]))
         touched = incoming.select(partition_col).distinct()
         existing = existing.join(touched, partition_col, "left_semi")
         # Materialise before overwriting the folder we are reading from.
