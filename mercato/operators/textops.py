@@ -35,11 +35,18 @@ def words(c: Column) -> Column:
 
 
 def ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(key, pos, gram) for every n-word window of the whole text."""
-    w = words(F.col(text))
-    idx = F.when(F.size(w) >= n, F.sequence(F.lit(0), F.size(w) - n)).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(idx, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(w, i + 1, n), " ").alias("gram")))
-    return df.select(key, F.inline(grams))
+    """(key, pos, gram) for every n-word window of the whole text.
+
+    Built from ``n`` shifted slices zipped together: linear in the text length
+    (a per-position lambda over the word array would re-split the text for
+    every position, quadratic for long documents)."""
+    x = df.select(key, words(F.col(text)).alias("_w"))
+    size = F.size("_w")
+    zipped = F.arrays_zip(*[F.slice("_w", k + 1, F.greatest(size - k, F.lit(1))).alias(f"w{k}")
+                            for k in range(n)])
+    g = x.select(key, F.posexplode(F.when(size >= n, F.slice(zipped, 1, F.greatest(size - n + 1, F.lit(1)))))
+                 .alias("pos", "z"))
+    return g.select(key, "pos", F.concat_ws(" ", *[F.col(f"z.w{k}") for k in range(n)]).alias("gram"))
 
 
 def phrase_dictionary(bench: DataFrame, key: str, text: str, n: int) -> DataFrame:

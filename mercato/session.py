@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Local mode runs every task inside the driver JVM: give it the memory.
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
