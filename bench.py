@@ -24,7 +24,7 @@ HEADLINE = [
     "calendar_spine_fill", "leak_free_rolling", "demand_classes", "category_quantile_trim", "two_stage_group_trim",
     "kruskal_wallis_h", "roc_points", "top_cities_by_value", "upsert_merged_image", "normalized_documents",
     "exact_duplicate_documents", "gazetteer_tagging", "near_duplicate_documents", "html_listings",
-    "page_title_text", "url_query_params", "entity_mapping_cosine", "basket_simulation", "stream_hourly_windows",
+    "page_title_text", "url_query_params", "entity_mapping_cosine", "basket_simulation",
 ]
 
 

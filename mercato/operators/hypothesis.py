@@ -97,8 +97,10 @@ def normal_cdf_sql(x: str) -> str:
 
 def kruskal_wallis(df: DataFrame, group: str, col: str) -> DataFrame:
     """H statistic with tie correction, degrees of freedom and N."""
-    ranks = rank_table(df, col).select(col, "avg_rank", "c")
-    gv = df.groupBy(group, col).agg(F.count(F.lit(1)).alias("n"))
+    # One pass over the rows: (group, value) counts, written once to the shared
+    # checkpoint folder; ranks, group sums and tie terms are derived from it.
+    gv = df.groupBy(group, col).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    ranks = rank_table(gv, col, weight="n").select(col, "avg_rank", "c")
     r = gv.join(ranks.select(col, "avg_rank"), col).groupBy(group).agg(
         F.sum(F.col("n") * F.col("avg_rank")).alias("R"), F.sum("n").alias("ng"))
     s = r.agg(F.sum(F.col("R") * F.col("R") / F.col("ng")).alias("srn"), F.sum("ng").alias("N"),

@@ -16,11 +16,16 @@ from pyspark.sql import functions as F
 
 
 def rank_table(df: DataFrame, col: str, extra_counts: Sequence[tuple[str, object]] = (),
-               buckets: int = 64) -> DataFrame:
+               buckets: int = 64, weight: str | None = None) -> DataFrame:
     """One row per distinct ``col`` value with its count ``c``, the number of
     rows strictly below it (``below``) and its tie-averaged rank ``avg_rank``.
-    ``extra_counts`` adds conditional counts, e.g. ``("pos", F.col("y") == 1)``."""
-    aggs = [F.count(F.lit(1)).alias("c")] + [F.count_if(cond).alias(name) for name, cond in extra_counts]
+    ``extra_counts`` adds conditional counts, e.g. ``("pos", F.col("y") == 1)``;
+    ``weight`` names a column of pre-aggregated row counts."""
+    if weight:
+        aggs = [F.sum(weight).alias("c")] + [F.sum(F.when(cond, F.col(weight)).otherwise(0)).alias(name)
+                                             for name, cond in extra_counts]
+    else:
+        aggs = [F.count(F.lit(1)).alias("c")] + [F.count_if(cond).alias(name) for name, cond in extra_counts]
     counts = df.groupBy(col).agg(*aggs)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = counts.select(F.percentile_approx(col, probs, 10000)).scalar()

@@ -39,3 +39,12 @@ def unfetched_parts(spark, sf):
     recent = li.filter(F.col("l_shipdate") >= li.select(F.max("l_shipdate")).scalar() - F.expr("INTERVAL 90 DAYS"))
     part = t.part
     return part.join(recent, part.p_partkey == recent.l_partkey, "left_anti").select("p_partkey", "p_brand")
+
+
+@register("catalog_introspection", "A11")
+def catalog_introspection(spark, sf):
+    """Schema, table, column, type, nullability and ordinal of every driver
+    table and bound view registered from ``sf``."""
+    from mercato.sources.files import catalog_columns
+    Tables(spark, sf).register_views()
+    return catalog_columns(spark)

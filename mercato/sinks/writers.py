@@ -75,3 +75,11 @@ def quality_report(df: DataFrame, keys: Sequence[str], not_null: Sequence[str],
     rules = [F.count_if(F.col(c) <= 0).alias(f"nonpositive_{c}") for c in positive]
     r = df.agg(*counts, *nulls, *rules)
     return r.withColumn("duplicate_keys", F.col("n_rows") - F.col("n_keys"))
+
+
+def write_grouped_json(df: DataFrame, path: str, group_col: str, id_col: str, item_cols) -> None:
+    """One JSON folder per group value: each line is an id with its sorted
+    array of items (``{district}/...`` files of ids -> items)."""
+    items = F.sort_array(F.collect_list(F.struct(*item_cols))).alias("items")
+    (df.groupBy(group_col, id_col).agg(items).repartition(group_col)
+     .write.mode("overwrite").partitionBy(group_col).json(path))

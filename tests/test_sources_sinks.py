@@ -121,3 +121,46 @@ def test_date_dimension(spark):
     df = spark.createDataFrame([("2024-01-30",), ("2024-02-02",)], "d string").select(F.to_date("d").alias("date"))
     rows = date_dimension(df).orderBy("full_date").collect()
     assert len(rows) == 4 and rows[0].date_id == 20240130 and rows[0].day_of_week == 1  # Tuesday, Monday=0
+
+
+def test_grouped_json_and_parquet_sinks(spark):
+    from mercato.sinks.writers import replace_table, write_grouped_json, write_partitioned
+    base = tempfile.mkdtemp(prefix="sinks-")
+    df = spark.createDataFrame([("aveiro", "a/1", "x"), ("aveiro", "a/1", "y"), ("porto", "p/1", "z")],
+                               "district string, id string, item string")
+    write_grouped_json(df, os.path.join(base, "json"), "district", "id", ["item"])
+    back = spark.read.json(os.path.join(base, "json"))
+    assert sorted(r.district for r in back.collect()) == ["aveiro", "porto"]
+    replace_table(df, os.path.join(base, "t"))
+    replace_table(df, os.path.join(base, "t"))
+    assert spark.read.parquet(os.path.join(base, "t")).count() == 3
+    write_partitioned(df, os.path.join(base, "p"), ["district"])
+    assert os.path.isdir(os.path.join(base, "p", "district=porto"))
+
+
+def test_images_labels_and_catalog(spark):
+    from mercato.sources.files import catalog_columns, join_images_labels, read_images
+    d = tempfile.mkdtemp(prefix="img-")
+    for pid in (101, 102):
+        with open(os.path.join(d, f"{pid}_0.jpg"), "wb") as f:
+            f.write(b"\xff\xd8\xff" + bytes([pid % 256]))
+    images = read_images(spark, d)
+    labels = spark.createDataFrame([(101, "dress"), (102, "shoe"), (103, "bag")], "product_id long, label string")
+    matched, missing = join_images_labels(images, labels)
+    assert matched.count() == 2 and [r.product_id for r in missing.collect()] == [103]
+    labels.createOrReplaceTempView("labels_fixture")
+    cols = catalog_columns(spark).filter("table_name = 'labels_fixture'").collect()
+    assert [(c.column_name, c.ordinal_position) for c in cols] == [("product_id", 1), ("label", 2)]
+
+
+def test_model_save_load(spark):
+    from pyspark.ml import PipelineModel
+    from mercato.operators.ml import onehot_pipeline
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("a", 3.0)], "c string, x double")
+    m = onehot_pipeline(["c"], ["x"]).fit(df)
+    path = os.path.join(tempfile.mkdtemp(prefix="model-"), "m")
+    m.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    a = [r.features for r in m.transform(df).collect()]
+    b = [r.features for r in again.transform(df).collect()]
+    assert a == b
