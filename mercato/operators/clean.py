@@ -112,16 +112,27 @@ def density_keep_bins(df: DataFrame, col: str, n_bins: int, nu: float) -> DataFr
     return c.select("bin", "cnt", F.when(before < (1 - nu) * F.col("n"), 1).otherwise(0).alias("kept"))
 
 
-def undersample(df: DataFrame, cls: str, key: str, seed: int = 42) -> DataFrame:
-    """Balance classes to the minority size without replacement.
+def hash_rank_within(df: DataFrame, group: str, key: str, seed: int = 42, bits: int = 6) -> DataFrame:
+    """Exact 1-based rank of each row inside its group by a seeded key hash,
+    plus the group size.  The top ``bits`` bits of the hash cut each group into
+    2^bits ordered ranges; rows are numbered per (group, range) in parallel and
+    shifted by a per-group offset table of at most 2^bits rows per group, so a
+    group holding a third of the data is never ranked in one task."""
+    h = F.xxhash64(F.col(key), F.lit(seed))
+    x = df.withColumn("_h", h).withColumn("_r", F.shiftright(F.col("_h"), 64 - bits))
+    sizes = x.groupBy(group, "_r").agg(F.count(F.lit(1)).alias("_n"))
+    ow = Window.partitionBy(group).orderBy("_r")
+    off = sizes.select(group, "_r", F.coalesce(F.sum("_n").over(ow.rowsBetween(Window.unboundedPreceding, -1)),
+                                               F.lit(0)).alias("_off"),
+                       F.sum("_n").over(Window.partitionBy(group)).alias("group_size"))
+    local = F.row_number().over(Window.partitionBy(group, "_r").orderBy("_h", key))
+    return (x.join(off, [group, "_r"]).withColumn("hash_rank", F.col("_off") + local)
+            .drop("_h", "_r", "_off"))
+
 
-    Rows are ranked by a seeded hash.  A first row_number runs per (class, input
-    partition) and keeps at most k rows each, so a dominant class is cut down in
-    parallel before the final per-class ranking sees at most k x partitions rows.
-    """
+def undersample(df: DataFrame, cls: str, key: str, seed: int = 42) -> DataFrame:
+    """Balance classes to the minority size without replacement: keep the rows
+    whose seeded-hash rank inside their class is within the minority count."""
     k = df.groupBy(cls).count().select(F.min("count")).scalar()
-    x = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("_p", F.spark_partition_id())
-    local = x.withColumn("_r", F.row_number().over(Window.partitionBy(cls, "_p").orderBy("_h", key)))
-    local = local.filter(F.col("_r") <= k)
-    final = local.withColumn("_r2", F.row_number().over(Window.partitionBy(cls).orderBy("_h", key)))
-    return final.filter(F.col("_r2") <= k).drop("_h", "_p", "_r", "_r2")
+    ranked = hash_rank_within(df, cls, key, seed)
+    return ranked.filter(F.col("hash_rank") <= k).drop("hash_rank", "group_size")

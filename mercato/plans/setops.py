@@ -40,11 +40,13 @@ def hash_train_test_split(spark, sf):
 
 @register("stratified_split", "G5")
 def stratified_split(spark, sf):
-    """Per-class 75/25 split by hash rank within class (class proportions kept)."""
-    from pyspark.sql import Window
+    """Per-class 75/25 split by hash rank within class (class proportions kept
+    exactly; ranks computed per hash range, see ``hash_rank_within``)."""
+    from mercato.operators.clean import hash_rank_within
     e = Tables(spark, sf).embeddings.select("vec_id", "label")
-    r = F.percent_rank().over(Window.partitionBy("label").orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id"))
-    return (e.withColumn("split", F.when(r < 0.75, "train").otherwise("test"))
+    r = hash_rank_within(e, "label", "vec_id", seed=3)
+    train = (F.col("hash_rank") - 1) < 0.75 * F.col("group_size")
+    return (r.withColumn("split", F.when(train, "train").otherwise("test"))
             .groupBy("label", "split").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -83,3 +83,15 @@ def test_dtw_basics():
     assert dtw(a, a) == 0.0
     assert dtw(a, np.array([0.0, 0.0, 1.0, 2.0, 3.0])) == 0.0
     assert dtw(a, a + 1, band=1) > 0
+
+
+def test_hash_rank_within_matches_window(spark):
+    from pyspark.sql import Window
+    from mercato.operators.clean import hash_rank_within
+    rows = [(i, "a" if i % 3 else "b") for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, g string").repartition(5)
+    got = {r.id: (r.hash_rank, r.group_size) for r in hash_rank_within(df, "g", "id", seed=9).collect()}
+    w = Window.partitionBy("g").orderBy(F.xxhash64("id", F.lit(9)), "id")
+    ref = df.select("id", F.row_number().over(w).alias("rk"), F.count(F.lit(1)).over(Window.partitionBy("g"))
+                    .alias("n")).collect()
+    assert all(got[r.id] == (r.rk, r.n) for r in ref)
