@@ -57,14 +57,21 @@ def phrase_dictionary(bench: DataFrame, key: str, text: str, n: int) -> DataFram
 
 
 def context_windows(df: DataFrame, key: str, text: str, phrase: str, width: int = 65) -> DataFrame:
-    """``width`` words centred on every occurrence of ``phrase`` (one word)."""
-    w = F.split(F.col(text), r"\s+")
-    x = df.select(key, w.alias("w"), F.posexplode(w).alias("pos", "word"))
-    x = x.filter(F.lower("word") == phrase.lower())
+    """``width`` words centred on every occurrence of ``phrase`` (one word).
+
+    Words are exploded once to (key, pos, word); each hit emits the positions
+    of its window, which are equi-joined back to the words and collected in
+    order.  Work is linear in text length plus hits x width; no row carries the
+    whole document."""
+    w = df.select(key, F.posexplode(F.split(F.col(text), r"\s+")).alias("pos", "word"))
     half = width // 2
-    start = F.greatest(F.col("pos") - half, F.lit(0))
-    length = (F.col("pos") + half + 1 - start).cast("int")
-    return x.select(key, "pos", F.array_join(F.slice("w", start + 1, length), " ").alias("context"))
+    hits = w.filter(F.lower("word") == phrase.lower()).select(key, F.col("pos").alias("hit"))
+    span = F.sequence(F.greatest(F.col("hit") - half, F.lit(0)), F.col("hit") + half)
+    cells = hits.select(key, "hit", F.explode(span).alias("pos"))
+    joined = cells.join(w, [key, "pos"])
+    ctx = joined.groupBy(key, "hit").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("ws"))
+    return ctx.select(key, F.col("hit").alias("pos"),
+                      F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("context"))
 
 
 # Inline annotation markup ``[entity text](Label)``, optional space before "(".

@@ -280,7 +280,7 @@ def basket_simulation(spark, sf):
 
 
 @register("basket_top5_vs_naive", "K27+G1", sql=_BASKET_SQL + """
-SELECT pid, round(sharpe, 6) AS sharpe, round(rel, 6) AS relative_sharpe FROM b WHERE rel > 1
+SELECT pid, round(sharpe, 6) AS sharpe, round(rel, 6) AS relative_sharpe FROM b WHERE round(rel, 6) > 1
 ORDER BY rel DESC, pid LIMIT 5""")
 def basket_top5_vs_naive(spark, sf):
     prices = daily_asset_prices(tracking(Tables(spark, sf)), 365)
