@@ -134,7 +134,8 @@ def parse_listings(pages: DataFrame, key: str = "page_id", html: str = "html",
             yield pd.DataFrame(out, columns=["page_id", "article_idx", "title", "link", "price_text", "garage",
                                              "details", "description"])
 
-    return pages.select(key, html).mapInPandas(run, LISTING_SCHEMA)
+    from mercato.operators.relational import spread
+    return spread(pages.select(key, html)).mapInPandas(run, LISTING_SCHEMA)
 
 
 def listing_features(listings: DataFrame) -> DataFrame:

@@ -18,7 +18,9 @@ from mercato.operators.textops import ngrams
 def shingle_sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """Distinct k-word shingles per document as 64-bit fingerprints (joins and
     shuffles move longs, not strings)."""
-    return ngrams(df, key, text, k).select(key, F.xxhash64("gram").alias("gram")).distinct()
+    from mercato.operators.relational import spread
+    src = spread(df.select(key, text))
+    return ngrams(src, key, text, k).select(key, F.xxhash64("gram").alias("gram")).distinct()
 
 
 def minhash_signatures(sh: DataFrame, key: str, n_hashes: int) -> DataFrame:

@@ -80,3 +80,16 @@ def money_avg(c: str) -> Column:
     sum is exact whatever the summation order, so the quotient is reproducible
     across partitionings (a plain double ``avg`` differs in the last bits)."""
     return F.round(F.sum(c), 2) / F.count(c)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure CPU-heavy per-row work (HTML parsing, Unicode folding) has at
+    least ``min_partitions`` tasks (default: the cluster's parallelism).
+
+    A large input already arrives in many file splits and is left untouched
+    (no shuffle); only an input with too few splits (e.g. one big row group)
+    is round-robin repartitioned."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -21,7 +21,8 @@ _NORM_SQL = (r"regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace
 @register("normalized_documents", "H1", sql=f"""
 SELECT doc_id, sha256({_NORM_SQL}) AS norm_hash, length({_NORM_SQL}) AS norm_len FROM documents""")
 def normalized_documents(spark, sf):
-    d = Tables(spark, sf).documents
+    from mercato.operators.relational import spread
+    d = spread(Tables(spark, sf).documents.select("doc_id", "text"))
     n = d.select("doc_id", normalize_text(F.col("text")).alias("norm"))
     return n.select("doc_id", F.sha2("norm", 256).alias("norm_hash"), F.length("norm").alias("norm_len"))
 
@@ -169,7 +170,8 @@ SELECT d.label, COUNT(*) AS n_hits, COUNT(DISTINCT g.doc_id) AS n_docs
 FROM g JOIN d ON g.gram = d.gram GROUP BY d.label""")
 def gazetteer_tagging(spark, sf):
     t = Tables(spark, sf)
-    grams = X.ngrams(t.documents, "doc_id", "text", 3)
+    from mercato.operators.relational import spread
+    grams = X.ngrams(spread(t.documents.select("doc_id", "text")), "doc_id", "text", 3)
     dictionary = X.phrase_dictionary(t.benchmark, "item_id", "text", 3)
     return (grams.join(dictionary, "gram").groupBy("label")
             .agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("doc_id").alias("n_docs")))

@@ -95,3 +95,23 @@ def test_hash_rank_within_matches_window(spark):
     ref = df.select("id", F.row_number().over(w).alias("rk"), F.count(F.lit(1)).over(Window.partitionBy("g"))
                     .alias("n")).collect()
     assert all(got[r.id] == (r.rk, r.n) for r in ref)
+
+
+def test_spread_only_when_needed(spark):
+    from mercato.operators.relational import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_random_basket_mode(spark):
+    from mercato.operators.portfolio import basket_metrics
+    rows = [(f"2024-01-{d:02d}", a, float(10 + d * (i + 1) % 7 + i)) for d in range(1, 29)
+            for i, a in enumerate(["a", "b", "c", "d"])]
+    prices = spark.createDataFrame(rows, "date string, asset string, price double")
+    full = basket_metrics(prices, ["a", "b", "c", "d"])
+    assert full.count() == 15
+    sampled = basket_metrics(prices, ["a", "b", "c", "d"], n_baskets=10)
+    assert sampled.count() == 10
+    assert sampled.filter("n_assets < 0 OR n_assets > 4").count() == 0
