@@ -6,7 +6,6 @@ Runs every headline query of the registry on ``$BENCH_SF_DIR`` (default
 
 Each query is run once to warm up and three times timed; the action is a
 ``noop`` write, so the whole plan executes without pulling rows to the driver.
-Shuffle bytes per query come from Spark's status store (no UI server).
 """
 
 from __future__ import annotations
@@ -28,18 +27,6 @@ HEADLINE = [
 ]
 
 
-def _shuffle_bytes(spark) -> int | None:
-    try:
-        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None)
-        total = 0
-        it = stages.iterator()
-        while it.hasNext():
-            total += it.next().shuffleWriteBytes()
-        return int(total)
-    except Exception:  # noqa: BLE001 - metrics are best effort
-        return None
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -50,21 +37,17 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2, app_name="mercato-bench",
                       extra={"spark.driver.memory": "16g"})
     reg = load_all()
-    timings, shuffle, rows = {}, {}, {}
+    timings, rows = {}, {}
     for k in keys:
         q = reg[k]
         df = q.build(spark, sf_dir)
         rows[k] = df.count()  # warm-up (also compiles and caches file listings)
         runs = []
-        before = _shuffle_bytes(spark)
         for _ in range(3):
             t0 = time.perf_counter()
             q.build(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - t0)
-        after = _shuffle_bytes(spark)
         timings[k] = round(statistics.median(runs), 3)
-        if before is not None and after is not None:
-            shuffle[k] = (after - before) // 3
 
     # Extras: HTML parse throughput and streaming rows/s.
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -84,7 +67,6 @@ def main() -> None:
         "queries": timings,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "rows": rows,
-        "shuffle_bytes": shuffle,
         "html_mb": round(mb, 3),
         "html_mb_per_sec": round(mb / html_s, 3),
         "stream_rows_per_sec": round(n_events / stream_s, 1),

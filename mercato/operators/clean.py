@@ -29,7 +29,8 @@ def median_impute(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
 
 
 def quantile_bounds(df: DataFrame, col: str, lo: float, hi: float, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(F.percentile(col, lo).alias("_lo"), F.percentile(col, hi).alias("_hi"))
+    q = df.groupBy(*by).agg(F.percentile(col, F.array(F.lit(lo), F.lit(hi))).alias("_q"))
+    return q.select(*by, F.get("_q", 0).alias("_lo"), F.get("_q", 1).alias("_hi"))
 
 
 def quantile_trim(df: DataFrame, col: str, lo: float, hi: float, by: Sequence[str] = (),
@@ -61,8 +62,8 @@ def two_stage_trim(df: DataFrame, by: Sequence[str], cols: Sequence[str], q_hi:
 def zscore_counts(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Rows kept per group by |z| < 3, modified z (MAD) <= 3.5 and the IQR fences."""
     s = df.groupBy(*by).agg(F.avg(col).alias("mu"), F.stddev_samp(col).alias("sd"),
-                            F.median(col).alias("med"), F.percentile(col, 0.25).alias("q1"),
-                            F.percentile(col, 0.75).alias("q3"))
+                            F.percentile(col, F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("_q")).select(
+        *by, "mu", "sd", F.get("_q", 0).alias("med"), F.get("_q", 1).alias("q1"), F.get("_q", 2).alias("q3"))
     d = df.join(s, list(by)).withColumn("dev", F.abs(F.col(col) - F.col("med")))
     mad = d.groupBy(*by).agg(F.median("dev").alias("mad"))
     x = d.join(mad, list(by))

@@ -25,11 +25,13 @@ def skewness_corrected(c: str) -> Column:
 def describe_numeric(df: DataFrame, col: str, by: Sequence[str] = (), money: bool = True) -> DataFrame:
     """count, mean, std, min, q25, q50, q75, max per group in one aggregate."""
     mean = money_avg(col) if money else F.round(F.avg(col), 4)
-    return df.groupBy(*by).agg(
+    # One exact percentile aggregate for the three quartiles: one value->count buffer, not three.
+    g = df.groupBy(*by).agg(
         F.count(col).alias("count"), mean.alias("mean"), F.round(F.stddev_samp(col), 4).alias("std"),
-        F.min(col).alias("min"), F.percentile(col, 0.25).alias("q25"),
-        F.percentile(col, 0.5).alias("q50"), F.percentile(col, 0.75).alias("q75"),
+        F.min(col).alias("min"), F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
         F.max(col).alias("max"))
+    return g.select(*by, "count", "mean", "std", "min", F.get("_q", 0).alias("q25"), F.get("_q", 1).alias("q50"),
+                    F.get("_q", 2).alias("q75"), "max")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -63,8 +65,8 @@ def fixed_bins(df: DataFrame, col: str, n: int, by: Sequence[str] = ()) -> DataF
 
 def box_whiskers(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, IQR, whiskers (extreme points inside 1.5 IQR fences) and outlier count."""
-    q = df.groupBy(*by).agg(F.percentile(col, 0.25).alias("q1"), F.percentile(col, 0.5).alias("med"),
-                            F.percentile(col, 0.75).alias("q3"))
+    q = df.groupBy(*by).agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")).select(
+        *by, F.get("_q", 0).alias("q1"), F.get("_q", 1).alias("med"), F.get("_q", 2).alias("q3"))
     x = df.join(q, list(by))
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
