@@ -50,3 +50,16 @@ def backfill_hourly_windows(spark, sf):
 @register("stream_fan_out", "L7")
 def stream_fan_out(spark, sf):
     return J.fan_out(J.events_stream(spark, sf), "fanout").select("table", F.col("n").cast("bigint").alias("n"))
+
+
+@register("late_rows_by_watermark", "L3", sql="""
+WITH r AS (SELECT event_type, ts,
+                  MAX(ts) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+           FROM events)
+SELECT event_type, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE ts < seen - INTERVAL 10 MINUTE) AS n_late
+FROM r GROUP BY event_type""")
+def late_rows_by_watermark(spark, sf):
+    """Batch twin of the watermark: rows that arrive (in event-id order) more
+    than 10 minutes behind the latest event time already seen."""
+    from mercato.operators.ordered import late_rows
+    return late_rows(J.events_batch(spark, sf), "event_id", "ts", 10)
