@@ -105,7 +105,9 @@ def kruskal_wallis(df: DataFrame, group: str, col: str) -> DataFrame:
         F.sum(F.col("n") * F.col("avg_rank")).alias("R"), F.sum("n").alias("ng"))
     s = r.agg(F.sum(F.col("R") * F.col("R") / F.col("ng")).alias("srn"), F.sum("ng").alias("N"),
               F.count(F.lit(1)).alias("k"))
-    tt = ranks.agg(F.sum(F.pow("c", 3) - F.col("c"))).scalar()
+    # Tie term from per-value counts (no need to re-run the rank table).
+    per_value = gv.groupBy(col).agg(F.sum("n").cast("double").alias("c"))
+    tt = per_value.agg(F.sum(F.col("c") * F.col("c") * F.col("c") - F.col("c"))).scalar()
     x = s.withColumn("tt", tt)
     N = F.col("N").cast("double")
     h = 12.0 / (N * (N + 1)) * F.col("srn") - 3 * (N + 1)
