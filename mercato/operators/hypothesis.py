@@ -99,6 +99,8 @@ def kruskal_wallis(df: DataFrame, group: str, col: str) -> DataFrame:
     """H statistic with tie correction, degrees of freedom and N."""
     # One pass over the rows: (group, value) counts, written once to the shared
     # checkpoint folder; ranks, group sums and tie terms are derived from it.
+    from mercato.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     gv = df.groupBy(group, col).agg(F.count(F.lit(1)).alias("n")).checkpoint()
     ranks = rank_table(gv, col, weight="n").select(col, "avg_rank", "c")
     r = gv.join(ranks.select(col, "avg_rank"), col).groupBy(group).agg(
