@@ -115,3 +115,25 @@ def test_random_basket_mode(spark):
     sampled = basket_metrics(prices, ["a", "b", "c", "d"], n_baskets=10)
     assert sampled.count() == 10
     assert sampled.filter("n_assets < 0 OR n_assets > 4").count() == 0
+
+
+def test_rank_table_invariant_to_buckets_and_partitioning(spark):
+    rng = np.random.default_rng(1)
+    vals = [(float(v), int(v) % 2) for v in rng.integers(0, 300, 2000)]
+    df = spark.createDataFrame(vals, "x double, y int")
+    a = sorted(tuple(r) for r in rank_table(df, "x", [("pos", F.col("y") == 1)], buckets=2).collect())
+    b = sorted(tuple(r) for r in rank_table(df.repartition(7), "x", [("pos", F.col("y") == 1)], buckets=32)
+               .collect())
+    assert a == b
+
+
+def test_running_max_before_matches_window(spark):
+    from pyspark.sql import Window
+    from mercato.operators.ordered import running_max_before
+    rng = np.random.default_rng(2)
+    rows = [(i, float(v)) for i, v in enumerate(rng.normal(size=1500))]
+    df = spark.createDataFrame(rows, "id long, v double").repartition(5)
+    got = {r.id: r.seen_max for r in running_max_before(df, "id", "v", buckets=16).collect()}
+    w = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    ref = {r.id: r.m for r in df.select("id", F.max("v").over(w).alias("m")).collect()}
+    assert got == ref
