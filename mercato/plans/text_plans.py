@@ -222,3 +222,36 @@ def conversation_dedup(spark, sf):
     c = Tables(spark, sf).conversations
     prev = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn"))
     return c.withColumn("prev", prev).filter(F.col("prev").isNull() | (F.col("prev") != F.col("text"))).drop("prev")
+
+
+@register("exact_jaccard_blocks", "G9", sql=r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 5], ' ') AS gram
+      FROM w, LATERAL (SELECT unnest(range(0, len(w) - 4)) AS i)),
+sh AS (SELECT DISTINCT doc_id, gram FROM g),
+f AS (SELECT doc_id, gram AS block FROM g WHERE i = 0),
+rep AS (SELECT block, MIN(doc_id) AS rep FROM f GROUP BY block HAVING COUNT(*) > 1),
+m AS (SELECT f.doc_id, rep.rep FROM f JOIN rep ON f.block = rep.block WHERE f.doc_id <> rep.rep),
+n AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY doc_id),
+x AS (SELECT m.doc_id, m.rep, COUNT(*) AS inter FROM m JOIN sh a ON a.doc_id = m.doc_id
+      JOIN sh b ON b.doc_id = m.rep AND b.gram = a.gram GROUP BY 1, 2)
+SELECT x.doc_id, x.rep, round(x.inter / (na.n + nb.n - x.inter), 6) AS jaccard
+FROM x JOIN n na ON na.doc_id = x.doc_id JOIN n nb ON nb.doc_id = x.rep""")
+def exact_jaccard_blocks(spark, sf):
+    """Exact Jaccard of 5-word shingle sets inside deterministic blocks (same
+    opening shingle): each member against the block representative (smallest
+    id), so a block costs linear, not quadratic, work."""
+    from mercato.operators.relational import spread
+    docs = spread(Tables(spark, sf).documents.select("doc_id", "text"))
+    g = X.ngrams(docs, "doc_id", "text", 5)
+    sh = g.select("doc_id", "gram").distinct()
+    first = g.filter(F.col("pos") == 0).select("doc_id", F.col("gram").alias("block"))
+    rep = (first.groupBy("block").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
+           .filter("members > 1"))
+    m = first.join(rep, "block").filter(F.col("doc_id") != F.col("rep")).select("doc_id", "rep")
+    inter = (m.join(sh, "doc_id").join(sh.select(F.col("doc_id").alias("rep"), "gram"), ["rep", "gram"])
+             .groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("inter")))
+    n = sh.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    x = inter.join(n, "doc_id").join(n.select(F.col("doc_id").alias("rep"), F.col("n").alias("n_rep")), "rep")
+    jac = F.col("inter") / (F.col("n") + F.col("n_rep") - F.col("inter"))
+    return x.select("doc_id", "rep", F.round(jac, 6).alias("jaccard"))
