@@ -24,16 +24,28 @@ JOIN (SELECT product_id, MAX(date) AS latest_date FROM tracking GROUP BY product
   ON t1.product_id = t2.product_id AND t1.date = t2.latest_date
 GROUP BY t1.user_id""")
 def seller_features_latest(spark, sf):
-    latest = latest_with_ties(tracking(Tables(spark, sf)), "product_id", "date")
+    """One scan: rows are first reduced to (product, date, seller) partial sums
+    (map-side combined); each product's latest date is then picked with a
+    window over those pre-aggregated rows, whose size per product is bounded
+    by its number of snapshot days (the table's key is product x day), not by
+    how many raw rows a hot product has.  Ties on the latest date are kept."""
+    from pyspark.sql import Window
+    tr = tracking(Tables(spark, sf))
+    pre = tr.groupBy("product_id", "date", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price_numeric").alias("s_price"),
+        F.count("price_numeric").alias("n_price"), F.sum("package_size_id").alias("s_pkg"),
+        F.sum("view_count").alias("s_views"), F.sum("favourite_count").alias("s_fav"))
+    latest = pre.withColumn("_latest", F.max("date").over(Window.partitionBy("product_id")))
+    latest = latest.filter(F.col("date") == F.col("_latest"))
     return latest.groupBy("user_id").agg(
         F.countDistinct("product_id").alias("count_products"),
-        F.round(F.sum("price_numeric"), 2).alias("sum_price"),
-        money_avg("price_numeric").alias("avg_price"),
-        F.round(F.avg("package_size_id"), 4).alias("avg_package_size"),
-        F.round(F.sum("view_count"), 2).alias("total_views"),
-        F.round(F.avg("view_count"), 4).alias("avg_views"),
-        F.sum("favourite_count").cast("bigint").alias("total_favourite"),
-        F.round(F.avg("favourite_count"), 4).alias("avg_favourite"))
+        F.round(F.sum("s_price"), 2).alias("sum_price"),
+        (F.round(F.sum("s_price"), 2) / F.sum("n_price")).alias("avg_price"),
+        F.round(F.sum("s_pkg") / F.sum("n"), 4).alias("avg_package_size"),
+        F.round(F.sum("s_views"), 2).alias("total_views"),
+        F.round(F.sum("s_views") / F.sum("n"), 4).alias("avg_views"),
+        F.sum("s_fav").cast("bigint").alias("total_favourite"),
+        F.round(F.sum("s_fav") / F.sum("n"), 4).alias("avg_favourite"))
 
 
 @register("latest_snapshot_rows", "D3", sql="""
