@@ -58,3 +58,10 @@ def test_sql_checked_queries_have_no_python_udf(spark):
     for key in ["seller_features_latest", "kruskal_wallis_h", "calendar_spine_fill", "price_box_whiskers"]:
         text = reg[key].build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text
+
+
+def test_flagship_scans_lineitem_once(spark):
+    df = load_all()["seller_features_latest"].build(spark, SF_SMALL)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("lineitem.parquet") == 1
+    assert "Window" in text and "partial_" in text  # map-side combine before the first exchange
