@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import table
+from mercato.llm.common import shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +58,29 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.with_copies(docs).select("doc_id", "_mix.size", "_mix.source_size", "_mix.target", "_mix.taken")
+
+
+from mercato.llm import packing, sharding, token_files  # noqa: E402
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of all documents as ORC and describe them from the files."""
+    folder = shared_folder(spark, "token-files")
+    token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    return token_files.digests(spark, folder)
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents into 8 shards and describe them from the files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = shared_folder(spark, "shards")
+    sharding.write_shards(docs, folder)
+    return sharding.digests(docs, folder)
