@@ -84,3 +84,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "shards")
     sharding.write_shards(docs, folder)
     return sharding.digests(docs, folder)
+
+
+from mercato.llm import minhash  # noqa: E402
+
+
+@query("op2_minhash")
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, Jaccard at least 0.85."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.groups(docs, k=3, percent=85, bands=32, rows=5).select(
+        "doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+from mercato.llm import pii  # noqa: E402
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
