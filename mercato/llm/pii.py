@@ -41,7 +41,7 @@ PATTERNS = {
     "ip": _START % "0-9" + r"[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{12,}+",
+    "secret": r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{12,}+",
     "number": r"(?<![0-9A-Za-z+-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z-])",
 }
 #: A text without a match of this cannot match the pattern; cheaper to look for.
@@ -107,14 +107,21 @@ VALID = {
 }
 
 
+def _valid(kind: str):
+    return lambda x: VALID[kind](x["m"])
+
+
+def _named(kind: str):
+    return lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"))
+
+
 def with_base(docs: DataFrame, text: str) -> DataFrame:
     """Adds ``_p_t`` (the text, null as empty) and ``_p_base``: valid base spans (kind, s, e) by kind, then start."""
     df = docs.withColumn("_p_t", F.coalesce(F.col(text), F.lit("")))
     for kind in BASE:
-        df = df.withColumn(f"_p_{kind}", F.filter(spans(F.col("_p_t"), kind), lambda x, k=kind: VALID[k](x["m"])))
-    named = [F.transform(f"_p_{kind}", lambda x, k=kind: F.struct(F.lit(k).alias("kind"), x["s"].alias("s"),
-                                                                  x["e"].alias("e"))) for kind in BASE]
-    return df.withColumn("_p_base", F.concat(*named)).drop(*[f"_p_{k}" for k in BASE])
+        df = df.withColumn(f"_p_{kind}", F.filter(spans(F.col("_p_t"), kind), _valid(kind)))
+    df = df.withColumn("_p_base", F.concat(*[F.transform(f"_p_{kind}", _named(kind)) for kind in BASE]))
+    return df.drop(*[f"_p_{k}" for k in BASE])
 
 
 def _sign(yes: Column, no: Column) -> Column:
@@ -141,43 +148,49 @@ def _features(text: Column, kind: str, x: Column) -> Column:
         F.floor(digits * 4 / n).cast("int").alias("digits"))
 
 
+def _described(kind: str):
+    return lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _features(F.col("_p_t"), kind, x).alias("f"))
+
+
 def with_candidates(df: DataFrame) -> DataFrame:
     """Adds ``_p_cand``: candidates (s, e, f) that no base span overlaps, f being votes and features."""
     for kind in ADDED:
         free = F.filter(spans(F.col("_p_t"), kind), lambda x: ~F.exists(
             "_p_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-        df = df.withColumn(f"_p_{kind}", F.transform(free, lambda x, k=kind: F.struct(
-            x["s"].alias("s"), x["e"].alias("e"), _features(F.col("_p_t"), k, x).alias("f"))))
+        df = df.withColumn(f"_p_{kind}", F.transform(free, _described(kind)))
     return df.withColumn("_p_cand", F.concat(*[F.col(f"_p_{k}") for k in ADDED])).drop(*[f"_p_{k}" for k in ADDED])
 
 
+#: What a labeler is expected to vote (-1, 0, 1) on a candidate that is not, and that is, personal data.
+#: Without it, a corpus whose candidates are nearly all of one class would split that class in two.
+PRIOR = {name: ({-1: 0.4, 0: 0.55, 1: 0.05}, {-1: 0.1, 0: 0.4, 1: 0.5}) for name in LABELERS}
+PRIOR["shape"] = ({-1: 0.4, 0: 0.4, 1: 0.2}, {-1: 0.1, 0: 0.4, 1: 0.5})
+
+
 def expectation_maximisation(patterns: dict[tuple[int, ...], int], rounds: int = 200) -> tuple[dict, dict]:
     """Reliability of each labeler and probability of each vote pattern, from the patterns' counts.
 
-    Two classes; a labeler votes -1, 0 or 1 with class-dependent probabilities, independently given the class
-    (smoothed by one).  It starts from the share of votes for, so that the positive class is the one that
-    labelers vote for."""
-    n_labelers = len(next(iter(patterns)))
-    p = {v: min(0.95, max(0.05, 0.5 + 0.45 * sum(v) / max(1, sum(map(abs, v))))) for v in patterns}
-    rate: dict = {}
+    Two classes; a labeler votes -1, 0 or 1 with class-dependent probabilities, independently given the
+    class.  ``PRIOR`` counts as much as the candidates do."""
+    total = sum(patterns.values())
+    rate = {(j, c): dict(PRIOR[name][c]) for j, name in enumerate(LABELERS) for c in (0, 1)}
+    share, p = 0.5, {}
     for _ in range(rounds):
-        total = sum(patterns.values())
-        share = (sum(p[v] * n for v, n in patterns.items()) + 1) / (total + 2)
-        for j in range(n_labelers):
-            for c in (0, 1):
-                weight = {x: 1.0 for x in (-1, 0, 1)}
-                for v, n in patterns.items():
-                    weight[v[j]] += n * (p[v] if c else 1 - p[v])
-                s = sum(weight.values())
-                rate[j, c] = {x: w / s for x, w in weight.items()}
         new = {}
         for v in patterns:
             odds = math.log(share / (1 - share)) + sum(math.log(rate[j, 1][x] / rate[j, 0][x]) for j, x in enumerate(v))
             new[v] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
-        moved = max(abs(new[v] - p[v]) for v in p)
+        moved = max((abs(new[v] - p.get(v, -1)) for v in new), default=0)
         p = new
         if moved < 1e-9:
             break
+        share = (sum(p[v] * n for v, n in patterns.items()) + total / 2) / (2 * total)
+        for j, name in enumerate(LABELERS):
+            for c in (0, 1):
+                weight = {x: total * q for x, q in PRIOR[name][c].items()}
+                for v, n in patterns.items():
+                    weight[v[j]] += n * (p[v] if c else 1 - p[v])
+                rate[j, c] = {x: w / sum(weight.values()) for x, w in weight.items()}
     return rate, p
 
 
@@ -211,8 +224,7 @@ def learn(candidates: DataFrame, spark) -> tuple[list[float], float] | None:
         p = prob[r["kind"]][tuple(r[name] for name in LABELERS)]
         x = Vectors.dense(_vector(r["kind"], r.asDict()))
         rows += [(x, 1.0, r["n"] * p), (x, 0.0, r["n"] * (1 - p))]
-    train = spark.createDataFrame(rows, "features vector, label double, weight double") if False else \
-        spark.createDataFrame(rows, ["features", "label", "weight"])
+    train = spark.createDataFrame(rows, ["features", "label", "weight"])
     model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=100, standardization=False).fit(train.coalesce(1))
     return [float(c) for c in model.coefficients], float(model.intercept)
 
