@@ -104,3 +104,12 @@ from mercato.llm import pii  # noqa: E402
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+from mercato.llm import passages  # noqa: E402
+
+
+@query("op4_passages")
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))

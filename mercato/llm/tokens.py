@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Pre-token boundaries of the byte-level BPE, for texts of plain characters only.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ɏ0-9]+|\s+(?!\S)|\s+")
+_WORDS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ɏ0-9]+|\s+(?!\S)|\s+")
 #: Anything else: the text is encoded whole.
 _OTHER = re.compile(r"[^\t\n\r\x20-\x7e¡-©«-±´¶-¸»¿-ɏ‐-‧€]")
 
@@ -27,11 +27,22 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Memory(dict):
+    """Ids of remembered pre-tokens; a lookup notes those that are not."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.missed: list[str] = []
+
+    def __missing__(self, word: str) -> None:
+        self.missed.append(word)
+
+
 class Encoder:
     """Ids of texts as bytes (little-endian unsigned 32-bit)."""
 
     #: Distinct pre-tokens remembered, the earliest ones; others are encoded again for each group of texts.
-    REMEMBERED = 400_000
+    REMEMBERED = 500_000
     #: Characters of the texts handled together.
     GROUP = 2 << 20
 
@@ -40,7 +51,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known = _Memory()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The library's ids of each string, encoded whole."""
@@ -60,22 +71,28 @@ class Encoder:
         yield from self._group(group)
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
-        words = [None if _OTHER.search(t) else _WORDS.findall(t) for t in texts]
-        known = self.known
-        new = list(set().union(*(w for w in words if w)) - known.keys())
-        extra: dict[str, bytes] = {}
+        known, looked, waiting = self.known, [], set()
+        for t in texts:
+            if _OTHER.search(t):
+                looked.append((None, []))
+                continue
+            known.missed = []
+            looked.append((list(map(known.__getitem__, _WORDS.findall(t))), known.missed))
+            waiting.update(known.missed)
+        new, found = list(waiting), {}
         for i in range(0, len(new), 20_000):
-            extra.update(zip(new[i : i + 20_000], self.encode(new[i : i + 20_000])))
-        if len(known) + len(extra) <= self.REMEMBERED:
-            known.update(extra)
-            extra = {}
-        for t, w in zip(texts, words):
-            if w is None:
+            found.update(zip(new[i : i + 20_000], self.encode(new[i : i + 20_000])))
+        for t, (ids, missed) in zip(texts, looked):
+            if ids is None:
                 yield self.encode([t])[0]
-            elif extra:
-                yield b"".join([known[x] if x in known else extra[x] for x in w])
-            else:
-                yield b"".join([known[x] for x in w])
+                continue
+            at = -1
+            for word in missed:
+                at = ids.index(None, at + 1)
+                ids[at] = found[word]
+            yield b"".join(ids)
+        if len(known) + len(found) <= self.REMEMBERED:
+            known.update(found)
 
 
 _ENCODERS: dict[str, Encoder] = {}
