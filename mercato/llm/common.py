@@ -36,6 +36,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def settled(df: DataFrame, mark: str) -> DataFrame:
+    """``df`` with a column ``mark`` that Spark cannot compute ahead, for filters on columns that are dear to
+    compute: a filter that names it stays above them.  Else Spark would move the filter below and put the
+    columns' whole expressions, also inside the functions applied to every array element, in its place."""
+    return df.withColumn(mark, F.spark_partition_id())
+
+
 def cuts(df: DataFrame, key: str, ranges: int) -> list[int]:
     """At most ``ranges - 1`` ascending cut points that deal the non-null ``key`` (a whole number) into
     ranges of about equal rows.  The quantile sketch reads every row of that one column."""

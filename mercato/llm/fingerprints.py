@@ -52,7 +52,8 @@ def containment(a: Column, b: Column) -> Column:
 
 def merge(df: DataFrame, by: str, sketch: str, to: str = "sketch") -> DataFrame:
     """Sketch of all documents of each group: distinct kept hashes, combined before the shuffle."""
-    return (df.select(by, F.explode(sketch).alias("_f_h")).distinct()
+    # outer: else Spark would test the sketch's size below the columns that compute it
+    return (df.select(by, F.explode_outer(sketch).alias("_f_h")).filter("_f_h is not null").distinct()
             .groupBy(by).agg(F.array_sort(F.collect_list("_f_h")).alias(to)))
 
 

@@ -114,7 +114,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """The rows of ``docs`` (its columns unchanged), each as often as the mix takes it."""
     m = with_copies(docs, key, text, source, weights, cap, seeds)
     times = F.when(F.col("_mix.copies") > 0, F.sequence(F.lit(1), F.col("_mix.copies").cast("int")))
-    return m.withColumn("_m_copy", F.explode(times)).select(*docs.columns)
+    return m.withColumn("_m_copy", F.explode_outer(times)).filter("_m_copy is not null").select(*docs.columns)
 
 
 def oracle(weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seeds: int = SEEDS) -> str:

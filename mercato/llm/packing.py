@@ -4,8 +4,9 @@ Documents become pieces of at most ``capacity`` ids (only longer ones are cut; t
 remainder).  Pieces are dealt at random into partitions of about ``group`` pieces, each packed by best-fit
 decreasing.  Dual-feasible functions over the partition's lengths give a lower bound on its bins; bins
 equal to the bound are certified optimal and stay.  The partitions with a gap exchange documents: the
-pieces of their bins that are not full are pooled, dealt anew and packed again.  A round that saves no bin
-is dropped and ends the rounds.  A task holds one partition's lengths, never texts or ids.
+pieces of their bins that are not full, and those of any partition's bins that are at most half full, are
+pooled, dealt anew and packed again.  A round that saves no bin is dropped and ends the rounds.  A task
+holds one partition's lengths, never texts or ids.
 
 Defined cases: null or empty texts are one piece, the end id; repeated rows are packed separately; an empty
 table packs to nothing.  Only the named columns are read.
@@ -151,7 +152,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
     current = _packed(cut, cut.count(), group, capacity, 0)
     done: list[DataFrame] = []
     for round_ in range(1, rounds + 1):
-        loose = (F.col("gap") > 0) & (F.col("fill") < capacity)
+        loose = (F.col("fill") < capacity) & ((F.col("gap") > 0) | (2 * F.col("fill") <= capacity))
         pool = current.filter(loose)
         n, before = pool.count(), _bins(pool)
         if n == 0 or before < 2:

@@ -164,7 +164,7 @@ def with_candidates(df: DataFrame) -> DataFrame:
 #: What a labeler is expected to vote (-1, 0, 1) on a candidate that is not, and that is, personal data.
 #: Without it, a corpus whose candidates are nearly all of one class would split that class in two.
 PRIOR = {name: ({-1: 0.4, 0: 0.55, 1: 0.05}, {-1: 0.1, 0: 0.4, 1: 0.5}) for name in LABELERS}
-PRIOR["shape"] = ({-1: 0.4, 0: 0.4, 1: 0.2}, {-1: 0.1, 0: 0.4, 1: 0.5})
+PRIOR["shape"] = ({-1: 0.2, 0: 0.35, 1: 0.45}, {-1: 0.1, 0: 0.3, 1: 0.6})
 
 
 def expectation_maximisation(patterns: dict[tuple[int, ...], int], rounds: int = 200) -> tuple[dict, dict]:
@@ -206,8 +206,9 @@ def _vector(kind: str, f: dict) -> list[float]:
 def learn(candidates: DataFrame, spark) -> tuple[list[float], float] | None:
     """Coefficients and intercept of the span classifier.  What reaches the driver is one row per distinct
     combination of votes and classes, at most 2 * 3**4 * 6 * 5."""
-    counts = candidates.select(F.explode("_p_cand").alias("x")).select("x.f.*").groupBy("kind", *FEATURES).agg(
-        F.count(F.lit(1)).alias("n")).collect()
+    # outer: else Spark would test the array's size below the columns that compute it
+    each = candidates.select(F.explode_outer("_p_cand").alias("x")).filter("x is not null").select("x.f.*")
+    counts = each.groupBy("kind", *FEATURES).agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return None
     prob: dict = {}

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import WORD, saved
+from mercato.llm.common import WORD, saved, settled
 
 #: Common function words of each reference language (a parameter; lower case).
 LANGUAGES = {
@@ -204,7 +204,8 @@ def keep_good(docs: DataFrame, text: str = "text", languages: dict[str, list[str
     languages = languages or LANGUAGES
     counted = saved(_counted(docs.select(text), text, languages, bounds).drop(text), "quality-counts")
     refs = learn(counted, languages, bounds)
-    return _verdicts(_counted(docs, text, languages, bounds), refs, bounds).filter("_quality.kept").drop("_quality")
+    judged = settled(_verdicts(_counted(docs, text, languages, bounds), refs, bounds), "_q_s")
+    return judged.filter("_q_s >= 0 and _quality.kept").drop("_quality", "_q_s")
 
 
 def oracle(languages: dict[str, list[str]] | None = None, bounds: Bounds = Bounds(), key: str = "doc_id") -> str:
