@@ -20,7 +20,7 @@ def shingle_sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
     shuffles move longs, not strings)."""
     from mercato.operators.relational import spread
     src = spread(df.select(key, text))
-    return ngrams(src, key, text, k).select(key, F.xxhash64("gram").alias("gram")).distinct()
+    return ngrams(src, key, text, k, short=True).select(key, F.xxhash64("gram").alias("gram")).distinct()
 
 
 def minhash_signatures(sh: DataFrame, key: str, n_hashes: int) -> DataFrame:

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Assets of a basket study: their baskets are enumerated from one row.
+MOST_ASSETS = 16
+
+
 def daily_asset_prices(tr: DataFrame, days: int, asset: str = "catalog_id") -> DataFrame:
     recent = tr.filter(F.col("date") >= F.date_sub(tr.select(F.max("date")).scalar(), days))
     return recent.groupBy("date", F.col(asset).alias("asset")).agg(F.median("price_numeric").alias("price"))
@@ -37,27 +41,26 @@ def asset_stats(prices: DataFrame) -> DataFrame:
     return prices.groupBy("asset").agg(F.median("price").alias("med"), F.percentile("price", 0.05).alias("q05"))
 
 
-def basket_metrics(prices: DataFrame, assets: Sequence[str], n_baskets: int = 5000, seed: int = 42) -> DataFrame:
+def basket_metrics(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
     """Every non-empty 0/1 basket over the k assets (basket id bit i = asset i):
     revenue = w.median, volatility = sqrt(w' S w), VaR = w.(median - q05),
     Sharpe = revenue / volatility, plus the equal-weight benchmark ratio.
     The k asset statistics and the k x k covariance ride along as arrays on
     one row; baskets are generated from it, so nothing is joined pairwise.
-    With more assets than ``2^k - 1 <= n_baskets`` allows, ``n_baskets``
-    random baskets are drawn instead (weight = a bit of a seeded hash)."""
+    The assets are a parameter of at most ``MOST_ASSETS``; prices of other assets are left out."""
     assets = sorted(assets)
     k = len(assets)
+    if not 1 <= k <= MOST_ASSETS:
+        raise ValueError(f"1 to {MOST_ASSETS} assets, not {k}: there are 2**k - 1 baskets")
+    # index i below is the i-th requested asset, so no other may take part
+    prices = prices.filter(F.col("asset").isin(assets))
     st = asset_stats(prices).agg(F.sort_array(F.collect_list(F.struct("asset", "med", "q05"))).alias("st"))
     cov = asset_covariance(prices, assets)
     cm = cov.select(F.sort_array(F.collect_list(F.struct("asset_a", "asset_b", "cov")))).scalar()
-    enumerate_all = 2 ** k - 1 <= n_baskets
-    last = 2 ** k - 1 if enumerate_all else n_baskets
-    base = st.withColumn("cm", cm).select("st", "cm", F.explode(F.sequence(F.lit(1), F.lit(last))).alias("pid"))
+    base = st.withColumn("cm", cm).select(
+        "st", "cm", F.explode(F.sequence(F.lit(1), F.lit(2 ** k - 1))).alias("pid"))
     idx = F.sequence(F.lit(0), F.lit(k - 1))
-    if enumerate_all:
-        w = lambda i: F.floor(F.col("pid") / F.pow(F.lit(2.0), i)) % 2  # bit i of the basket id
-    else:
-        w = lambda i: F.pmod(F.xxhash64(F.col("pid"), i, F.lit(seed)), F.lit(2)).cast("double")
+    w = lambda i: F.floor(F.col("pid") / F.pow(F.lit(2.0), i)) % 2  # bit i of the basket id
     med = lambda i: F.get(F.col("st"), i)["med"]
     q05 = lambda i: F.get(F.col("st"), i)["q05"]
     cv = lambda i, j: F.get(F.col("cm"), i * k + j)["cov"]

@@ -34,8 +34,9 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")
 
 
-def ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(key, pos, gram) for every n-word window of the whole text.
+def ngrams(df: DataFrame, key: str, text: str, n: int, short: bool = False) -> DataFrame:
+    """(key, pos, gram) for every n-word window of the whole text; with ``short``, a text of fewer words gives its
+    whole word sequence as one.
 
     Built from ``n`` shifted slices zipped together: linear in the text length
     (a per-position lambda over the word array would re-split the text for
@@ -46,14 +47,31 @@ def ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
                             for k in range(n)])
     g = x.select(key, F.posexplode(F.when(size >= n, F.slice(zipped, 1, F.greatest(size - n + 1, F.lit(1)))))
                  .alias("pos", "z"))
-    return g.select(key, "pos", F.concat_ws(" ", *[F.col(f"z.w{k}") for k in range(n)]).alias("gram"))
-
-
-def phrase_dictionary(bench: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """Gazetteer: the first ``n`` words of each entry, labelled by its key."""
-    w = words(F.col(text))
-    return bench.filter(F.size(w) >= n).select(F.array_join(F.slice(w, 1, n), " ").alias("gram"),
-                                               F.col(key).alias("label"))
+    g = g.select(key, "pos", F.concat_ws(" ", *[F.col(f"z.w{k}") for k in range(n)]).alias("gram"))
+    if not short:
+        return g
+    few = x.filter((F.size("_w") > 0) & (F.size("_w") < n))
+    return g.unionByName(few.select(key, F.lit(0).alias("pos"), F.array_join("_w", " ").alias("gram")))
+
+
+def phrase_hits(docs: DataFrame, doc_key: str, text: str, entries: DataFrame, key: str, phrase: str) -> DataFrame:
+    """(doc_key, pos, label): every place where all words of a gazetteer entry stand in a row.
+
+    Places where an entry's first words (up to three) stand are found by an equi-join on word n-grams; there
+    the whole entry is compared with the document's words."""
+    e = entries.select(F.col(key).alias("label"), words(F.col(phrase)).alias("_e")).filter(F.size("_e") > 0)
+    e = e.withColumn("_s", F.least(F.size("_e"), F.lit(3)))
+    found = None
+    for r in e.select("_s").distinct().orderBy("_s").collect():  # at most 1, 2 and 3
+        n = r["_s"]
+        starts = e.filter(F.col("_s") == n).withColumn("gram", F.array_join(F.slice("_e", 1, n), " "))
+        hits = ngrams(docs, doc_key, text, n).join(starts, "gram").select(doc_key, "pos", "label", "_e")
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        return docs.select(doc_key, F.lit(0).alias("pos"), F.lit(None).alias("label")).filter("false")
+    d = docs.select(F.col(doc_key).alias("_k"), words(F.col(text)).alias("_w"))
+    whole = found.join(d, F.col(doc_key) == F.col("_k"))
+    return whole.filter(F.slice("_w", F.col("pos") + 1, F.size("_e")) == F.col("_e")).select(doc_key, "pos", "label")
 
 
 def context_windows(df: DataFrame, key: str, text: str, phrase: str, width: int = 65) -> DataFrame:

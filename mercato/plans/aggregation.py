@@ -13,8 +13,7 @@ from mercato.operators.stats import (
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, demand, tracking
 
-# Fixed value domains of the driver tables (pivot columns).
-SIZE_VALUES = [str(i) for i in range(1, 51)]
+# Catalogues of the basket and covariance studies (a parameter of those).
 CATALOG_VALUES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -81,18 +80,13 @@ def brand_value_counts(spark, sf):
             .orderBy(F.desc("n"), "brand_title"))
 
 
-_size_cols = ",\n".join(
-    f"  COUNT(*) FILTER (WHERE size_title = '{v}') AS \"{v}\"" for v in SIZE_VALUES)
 
-
-@register("pivot_count_catalog_size", "E8", sql=f"""
-SELECT catalog_id,
-{_size_cols}
-FROM tracking GROUP BY catalog_id""")
+@register("pivot_count_catalog_size", "E8", sql="""
+SELECT * FROM (PIVOT (SELECT catalog_id, size_title FROM tracking) ON size_title USING COUNT(*) GROUP BY catalog_id)""")
 def pivot_count_catalog_size(spark, sf):
+    """One column per size that occurs (Spark reads the domain from the data first)."""
     tr = tracking(Tables(spark, sf))
-    wide = tr.groupBy("catalog_id").pivot("size_title", SIZE_VALUES).agg(F.count(F.lit(1)))
-    return wide.na.fill(0, subset=SIZE_VALUES)
+    return tr.groupBy("catalog_id").pivot("size_title").agg(F.count(F.lit(1))).na.fill(0)
 
 
 _month_cols = ",\n".join(
@@ -110,18 +104,13 @@ def pivot_sum_family_month(spark, sf):
                                       for m in range(1, 13)])
 
 
-_cat_cols = ",\n".join(
-    f"  quantile_cont(price_numeric, 0.5) FILTER (WHERE catalog_id = '{v}') AS \"{v}\""
-    for v in CATALOG_VALUES)
-
-
-@register("pivot_median_date_catalog", "E10", sql=f"""
-SELECT date,
-{_cat_cols}
-FROM tracking WHERE date >= (SELECT MAX(date) FROM tracking) - INTERVAL 120 DAY GROUP BY date""")
+@register("pivot_median_date_catalog", "E10", sql="""
+SELECT * FROM (PIVOT (SELECT date, catalog_id, price_numeric FROM tracking) ON catalog_id
+               USING quantile_cont(price_numeric, 0.5) GROUP BY date)""")
 def pivot_median_date_catalog(spark, sf):
-    tr = _recent(tracking(Tables(spark, sf)), 120)
-    return tr.groupBy("date").pivot("catalog_id", CATALOG_VALUES).agg(F.median("price_numeric"))
+    """Median price of every date and catalogue; one column per catalogue that occurs."""
+    tr = tracking(Tables(spark, sf))
+    return tr.groupBy("date").pivot("catalog_id").agg(F.median("price_numeric"))
 
 
 @register("grand_total_level", "E11", sql="""
@@ -339,12 +328,12 @@ def cluster_shares(spark, sf):
 
 
 @register("cluster_profile", "E27", sql="""
-SELECT label, """ + ", ".join(f"round(100 * AVG(embedding[{i + 1}]), 4) AS f{i}" for i in range(4)) + """
-FROM embeddings GROUP BY label""")
+SELECT label, dim, round(100 * AVG(v), 4) AS mean_pct
+FROM (SELECT label, unnest(embedding) AS v, unnest(range(len(embedding))) AS dim FROM embeddings) GROUP BY label, dim""")
 def cluster_profile(spark, sf):
-    e = Tables(spark, sf).embeddings
-    return e.groupBy("label").agg(*[F.round(100 * F.avg(F.get("embedding", i)), 4).alias(f"f{i}")
-                                    for i in range(4)])
+    """Mean of every feature by label, one row per label and feature."""
+    e = Tables(spark, sf).embeddings.select("label", F.posexplode("embedding").alias("dim", "v"))
+    return e.groupBy("label", F.col("dim").cast("bigint").alias("dim")).agg(F.round(100 * F.avg("v"), 4).alias("mean_pct"))
 
 
 @register("cluster_top_composition", "E28+G1", sql="""

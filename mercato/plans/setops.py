@@ -54,13 +54,13 @@ def stratified_split(spark, sf):
 SELECT product_id, order_id, package_size_id, price_numeric, NULL AS view_count, 'returned' AS source
 FROM tracking WHERE status = 'R'
 UNION ALL
-SELECT product_id, order_id, package_size_id, NULL, view_count, 'accepted' FROM tracking WHERE status = 'A'""")
+SELECT product_id, order_id, package_size_id, NULL, view_count, 'kept' FROM tracking WHERE status IS DISTINCT FROM 'R'""")
 def union_by_name(spark, sf):
     tr = tracking(Tables(spark, sf))
     a = tr.filter(F.col("status") == "R").select("product_id", "order_id", "package_size_id", "price_numeric",
                                                  F.lit("returned").alias("source"))
-    b = tr.filter(F.col("status") == "A").select("product_id", "order_id", "package_size_id", "view_count",
-                                                 F.lit("accepted").alias("source"))
+    b = tr.filter(~F.col("status").eqNullSafe("R")).select("product_id", "order_id", "package_size_id", "view_count",
+                                                 F.lit("kept").alias("source"))
     return a.unionByName(b, allowMissingColumns=True).select(
         "product_id", "order_id", "package_size_id", "price_numeric", "view_count", "source")
 

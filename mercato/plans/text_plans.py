@@ -162,19 +162,14 @@ _WORDS_SQL = r"list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <
 
 @register("gazetteer_tagging", "H25", sql=f"""
 WITH w AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
-g AS (SELECT doc_id, array_to_string(w[i + 1 : i + 3], ' ') AS gram
-      FROM w, LATERAL (SELECT unnest(range(0, len(w) - 2)) AS i)),
-b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
-d AS (SELECT array_to_string(w[1:3], ' ') AS gram, item_id AS label FROM b WHERE len(w) >= 3)
-SELECT d.label, COUNT(*) AS n_hits, COUNT(DISTINCT g.doc_id) AS n_docs
-FROM g JOIN d ON g.gram = d.gram GROUP BY d.label""")
+p AS (SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS i FROM w),
+b AS (SELECT item_id, {_WORDS_SQL} AS e FROM benchmark)
+SELECT b.item_id AS label, COUNT(*) AS n_hits, COUNT(DISTINCT p.doc_id) AS n_docs
+FROM p JOIN b ON p.word = b.e[1] AND p.w[i + 1 : i + len(b.e)] = b.e GROUP BY b.item_id""")
 def gazetteer_tagging(spark, sf):
     t = Tables(spark, sf)
-    from mercato.operators.relational import spread
-    grams = X.ngrams(spread(t.documents.select("doc_id", "text")), "doc_id", "text", 3)
-    dictionary = X.phrase_dictionary(t.benchmark, "item_id", "text", 3)
-    return (grams.join(dictionary, "gram").groupBy("label")
-            .agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("doc_id").alias("n_docs")))
+    hits = X.phrase_hits(t.documents.select("doc_id", "text"), "doc_id", "text", t.benchmark, "item_id", "text")
+    return hits.groupBy("label").agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("doc_id").alias("n_docs"))
 
 
 @register("corpus_length_stats", "H26", sql=r"""
@@ -226,32 +221,28 @@ def conversation_dedup(spark, sf):
 
 @register("exact_jaccard_blocks", "G9", sql=r"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
-g AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 5], ' ') AS gram
-      FROM w, LATERAL (SELECT unnest(range(0, len(w) - 4)) AS i)),
+g AS (SELECT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS gram
+      FROM w, LATERAL (SELECT unnest(range(0, greatest(len(w) - 4, 1))) AS i) WHERE len(w) > 0),
 sh AS (SELECT DISTINCT doc_id, gram FROM g),
-f AS (SELECT doc_id, gram AS block FROM g WHERE i = 0),
-rep AS (SELECT block, MIN(doc_id) AS rep FROM f GROUP BY block HAVING COUNT(*) > 1),
-m AS (SELECT f.doc_id, rep.rep FROM f JOIN rep ON f.block = rep.block WHERE f.doc_id <> rep.rep),
-n AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY doc_id),
-x AS (SELECT m.doc_id, m.rep, COUNT(*) AS inter FROM m JOIN sh a ON a.doc_id = m.doc_id
-      JOIN sh b ON b.doc_id = m.rep AND b.gram = a.gram GROUP BY 1, 2)
-SELECT x.doc_id, x.rep, round(x.inter / (na.n + nb.n - x.inter), 6) AS jaccard
-FROM x JOIN n na ON na.doc_id = x.doc_id JOIN n nb ON nb.doc_id = x.rep""")
+rep AS (SELECT gram, MIN(doc_id) AS rep FROM sh GROUP BY gram),
+x AS (SELECT a.doc_id, p.rep FROM sh a JOIN rep p USING (gram) WHERE p.rep < a.doc_id GROUP BY ALL),
+c AS (SELECT x.doc_id, x.rep, COUNT(*) AS inter FROM x JOIN sh a ON a.doc_id = x.doc_id
+      JOIN sh b ON b.doc_id = x.rep AND b.gram = a.gram GROUP BY ALL),
+n AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY doc_id)
+SELECT c.doc_id, c.rep, round(inter / (na.n + nb.n - inter), 6) AS jaccard
+FROM c JOIN n na ON na.doc_id = c.doc_id JOIN n nb ON nb.doc_id = c.rep
+WHERE inter / (na.n + nb.n - inter) >= 0.7""")
 def exact_jaccard_blocks(spark, sf):
-    """Exact Jaccard of 5-word shingle sets inside deterministic blocks (same
-    opening shingle): each member against the block representative (smallest
-    id), so a block costs linear, not quadratic, work."""
-    from mercato.operators.relational import spread
-    docs = spread(Tables(spark, sf).documents.select("doc_id", "text"))
-    g = X.ngrams(docs, "doc_id", "text", 5)
-    sh = g.select("doc_id", "gram").distinct()
-    first = g.filter(F.col("pos") == 0).select("doc_id", F.col("gram").alias("block"))
-    rep = (first.groupBy("block").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"))
-           .filter("members > 1"))
-    m = first.join(rep, "block").filter(F.col("doc_id") != F.col("rep")).select("doc_id", "rep")
+    """Documents whose exact Jaccard similarity (5-word shingles) with an earlier one is at least 0.7.  Every shingle is
+    a block; a member is compared with the block's smallest id, so a block costs linear, not quadratic, work, and
+    an earlier copy is met at any shingle that it was the first to have."""
+    docs = Tables(spark, sf).documents.select("doc_id", "text")
+    sh = X.ngrams(docs, "doc_id", "text", 5, short=True).select("doc_id", F.xxhash64("gram").alias("gram")).distinct()
+    rep = sh.groupBy("gram").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members")).filter("members > 1")
+    m = sh.join(rep, "gram").filter("rep < doc_id").select("doc_id", "rep").distinct()
     inter = (m.join(sh, "doc_id").join(sh.select(F.col("doc_id").alias("rep"), "gram"), ["rep", "gram"])
              .groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("inter")))
     n = sh.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     x = inter.join(n, "doc_id").join(n.select(F.col("doc_id").alias("rep"), F.col("n").alias("n_rep")), "rep")
     jac = F.col("inter") / (F.col("n") + F.col("n_rep") - F.col("inter"))
-    return x.select("doc_id", "rep", F.round(jac, 6).alias("jaccard"))
+    return x.select("doc_id", "rep", jac.alias("j")).filter("j >= 0.7").select("doc_id", "rep", F.round("j", 6).alias("jaccard"))

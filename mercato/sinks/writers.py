@@ -21,10 +21,13 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Partitioned parquet; rows are clustered by the partition columns first so
-    each task writes few files."""
-    (df.repartition(*partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(path))
+def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], salts: int = 8) -> None:
+    """Partitioned parquet; rows are clustered by the partition columns and one of ``salts`` random
+    numbers first, so a day or brand with most rows is written by several tasks and each task
+    still writes few files."""
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    (df.repartition(*partition_cols, salt).write.mode("overwrite")
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def merge_latest(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -32,25 +35,47 @@ def merge_latest(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return latest_per_key(existing.unionByName(incoming, allowMissingColumns=True), keys, order)
 
 
+def _exists(spark, path: str) -> bool:
+    """Whether ``path`` holds anything, asked of the file system Spark itself would read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(target) and len(fs.listStatus(target)) > 0
+
+
 def upsert_partitions(incoming: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
                       partition_col: str) -> None:
-    """Idempotent upsert by key into a partitioned parquet table: only the
-    partitions touched by ``incoming`` are rewritten (dynamic overwrite)."""
+    """Idempotent upsert by key into a partitioned parquet table.
+
+    Rewritten are the partitions that ``incoming`` touches and those that hold an older row of one of
+    its keys, so a key that changes partition stays once.  A partition whose last row moved away is
+    rewritten too: its remaining rows, if any, are part of the image.  Only a missing table counts as the
+    first run; every other failure is raised and leaves the table as it was.  An existing
+    column whose type differs from the incoming one is an error."""
     from mercato.session import ensure_checkpoint_dir
     spark = incoming.sparkSession
     ensure_checkpoint_dir(spark)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        existing = spark.read.parquet(path)
-        # Partition values come back type-inferred; align them with the incoming type.
-        existing = existing.withColumn(partition_col, F.col(partition_col).cast(dict(incoming.dtypes)[partition_col]))
-        touched = incoming.select(partition_col).distinct()
-        existing = existing.join(touched, partition_col, "left_semi")
-        # Materialise before overwriting the folder we are reading from.
-        merged = merge_latest(existing, incoming, keys, order).checkpoint()
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        merged = latest_per_key(incoming, keys, order)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    if not _exists(spark, path):
+        latest_per_key(incoming, keys, order).write.partitionBy(partition_col).parquet(path)
+        return
+    kinds = dict(incoming.dtypes)
+    existing = spark.read.parquet(path)
+    # Partition values come back type-inferred; align them with the incoming type.
+    existing = existing.withColumn(partition_col, F.col(partition_col).cast(kinds[partition_col]))
+    clash = sorted(c for c, t in existing.dtypes if c in kinds and kinds[c] != t)
+    if clash:
+        raise ValueError(f"columns change their type: {', '.join(clash)}")
+    moved = existing.join(incoming.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
+    touched = incoming.select(partition_col).union(moved).distinct().checkpoint()
+    held = existing.join(touched, partition_col, "left_semi")
+    # Materialise before overwriting the folder we are reading from.
+    merged = merge_latest(held, incoming, keys, order).checkpoint()
+    emptied = [r[0] for r in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti").collect()]
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+    # Partitions that lost all their rows (bounded by the touched ones) get no new files: remove the old.
+    for value in emptied:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={value}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def sample_export(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
@@ -83,5 +108,7 @@ def write_grouped_json(df: DataFrame, path: str, group_col: str, id_col: str, it
     """One JSON folder per group value: each line is an id with its sorted
     array of items (``{district}/...`` files of ids -> items)."""
     items = F.sort_array(F.collect_list(F.struct(*item_cols))).alias("items")
-    (df.groupBy(group_col, id_col).agg(items).repartition(group_col)
+    grouped = df.groupBy(group_col, id_col).agg(items)
+    # A group with most ids is written by several tasks.
+    (grouped.repartition(group_col, F.pmod(F.xxhash64(id_col), F.lit(8)))
      .write.mode("overwrite").partitionBy(group_col).json(path))

@@ -117,6 +117,35 @@ def test_upsert_idempotent(spark):
     assert m.count() == 3
 
 
+def test_upsert_keeps_table_on_error_and_moves_keys(spark):
+    import pytest
+    d = os.path.join(tempfile.mkdtemp(prefix="upsert-"), "t")
+    old = spark.createDataFrame([(1, "d1", 1, 10.0), (2, "d1", 1, 20.0), (3, "d3", 1, 30.0)],
+                                "id int, day string, v int, price double")
+    upsert_partitions(old, d, ["id"], ["v"], "day")
+
+    def read():
+        t = spark.read.parquet(d).select("id", F.col("day").cast("string"), "v", "price")
+        return sorted(tuple(r) for r in t.collect())
+    before = read()
+    clash = spark.createDataFrame([(1, "d1", 2, "eleven")], "id int, day string, v int, price string")
+    with pytest.raises(ValueError):
+        upsert_partitions(clash, d, ["id"], ["v"], "day")
+    assert read() == before
+    moved = spark.createDataFrame([(1, "d2", 2, 11.0), (3, "d2", 2, 31.0)], "id int, day string, v int, price double")
+    for _ in range(2):  # a replay changes nothing
+        upsert_partitions(moved, d, ["id"], ["v"], "day")
+        assert read() == [(1, "d2", 2, 11.0), (2, "d1", 1, 20.0), (3, "d2", 2, 31.0)]
+
+
+def test_phrases_are_matched_whole(spark):
+    from mercato.operators.textops import phrase_hits
+    docs = spark.createDataFrame([(1, "a b c d e a b c x"), (2, "b"), (3, None), (4, "a b")], "doc_id long, text string")
+    entries = spark.createDataFrame([(10, "A b c d"), (11, "a b"), (12, "b"), (13, "")], "item long, phrase string")
+    got = sorted(tuple(r) for r in phrase_hits(docs, "doc_id", "text", entries, "item", "phrase").collect())
+    assert got == [(1, 0, 10), (1, 0, 11), (1, 1, 12), (1, 5, 11), (1, 6, 12), (2, 0, 12), (4, 0, 11), (4, 1, 12)]
+
+
 def test_date_dimension(spark):
     df = spark.createDataFrame([("2024-01-30",), ("2024-02-02",)], "d string").select(F.to_date("d").alias("date"))
     rows = date_dimension(df).orderBy("full_date").collect()

@@ -105,16 +105,22 @@ def test_spread_only_when_needed(spark):
     assert spread(many, 4).rdd.getNumPartitions() == 6
 
 
-def test_random_basket_mode(spark):
+def test_baskets_of_some_assets(spark):
+    """All baskets of the requested assets, whatever others are priced; too many assets are an error."""
+    import pytest
     from mercato.operators.portfolio import basket_metrics
-    rows = [(f"2024-01-{d:02d}", a, float(10 + d * (i + 1) % 7 + i)) for d in range(1, 29)
+    rows = [(f"2024-01-{d:02d}", a, float(10 + d * (i + 1) % 7 + i * i)) for d in range(1, 29)
             for i, a in enumerate(["a", "b", "c", "d"])]
     prices = spark.createDataFrame(rows, "date string, asset string, price double")
-    full = basket_metrics(prices, ["a", "b", "c", "d"])
-    assert full.count() == 15
-    sampled = basket_metrics(prices, ["a", "b", "c", "d"], n_baskets=10)
-    assert sampled.count() == 10
-    assert sampled.filter("n_assets < 0 OR n_assets > 4").count() == 0
+    some = ["a", "c", "d"]
+    got = basket_metrics(prices, some).collect()
+    assert len(got) == 7
+    med = {a: float(np.median([p for _, x, p in rows if x == a])) for a in some}
+    for r in got:
+        want = sum(med[a] for i, a in enumerate(some) if r["pid"] >> i & 1)
+        assert abs(r["revenue"] - want) < 1e-4
+    with pytest.raises(ValueError):
+        basket_metrics(prices, [str(i) for i in range(17)])
 
 
 def test_rank_table_invariant_to_buckets_and_partitioning(spark):
