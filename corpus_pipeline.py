@@ -10,8 +10,8 @@ is written as Parquet and reread as the next one's docs.  All but the last retur
 5. ``packing`` cuts documents into pieces and packs them into sequences.
 
 Each stage works on all its predecessor kept, nulls, repeated rows and empty tables included.  ``n_chars`` follows
-the text where a stage changes it.  SQL has no tokenizer and no packing, so ``ORACLE_SQL`` is None; a test holds the stages
-against plain Python on a small table.
+the text where a stage changes it.  SQL has no tokenizer and no packing, so ``ORACLE_SQL`` is None;
+``tests/llm/test_pipeline.py`` holds each stage against plain Python on the smallest table.
 """
 
 from __future__ import annotations
