@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.ranking import bucket_count
+
 
 def order_buckets(df: DataFrame, order: str, buckets: int) -> Column:
     """Bucket index of each row: how many boundaries its order value reaches."""
@@ -18,8 +20,10 @@ def order_buckets(df: DataFrame, order: str, buckets: int) -> Column:
     return df.select(F.percentile_approx(order, probs, 10000)).scalar()
 
 
-def running_max_before(df: DataFrame, order: str, value: str, buckets: int = 64) -> DataFrame:
-    """``max(value)`` over all rows strictly earlier in ``order`` (null for the first)."""
+def running_max_before(df: DataFrame, order: str, value: str, buckets: int | None = None) -> DataFrame:
+    """``max(value)`` over all rows strictly earlier in ``order`` (null for the first).  ``buckets`` is the
+    session's number of shuffle partitions unless given (64 at least)."""
+    buckets = buckets or bucket_count(df)
     bounds = order_buckets(df, order, buckets)
     x = df.withColumn("_bounds", bounds)
     x = x.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda b: b <= F.col(order)))).drop("_bounds")
@@ -32,7 +36,7 @@ def running_max_before(df: DataFrame, order: str, value: str, buckets: int = 64)
 
 
 def late_rows(events: DataFrame, arrival: str = "event_id", ts: str = "ts", delay_minutes: int = 10,
-              buckets: int = 64) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Rows whose event time is older than (latest event time already seen -
     delay) when they arrive: what a watermark of that delay would drop."""
     r = running_max_before(events.select(arrival, ts, "event_type"), arrival, ts, buckets)

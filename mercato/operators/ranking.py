@@ -15,12 +15,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Ranges of an order: as many as the session's shuffles have partitions, so they follow its data size."""
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def rank_table(df: DataFrame, col: str, extra_counts: Sequence[tuple[str, object]] = (),
-               buckets: int = 64, weight: str | None = None) -> DataFrame:
+               buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """One row per distinct ``col`` value with its count ``c``, the number of
     rows strictly below it (``below``) and its tie-averaged rank ``avg_rank``.
     ``extra_counts`` adds conditional counts, e.g. ``("pos", F.col("y") == 1)``;
-    ``weight`` names a column of pre-aggregated row counts."""
+    ``weight`` names a column of pre-aggregated row counts; ``buckets`` is the
+    session's number of shuffle partitions unless given (64 at least)."""
+    buckets = buckets or bucket_count(df)
     if weight:
         aggs = [F.sum(weight).alias("c")] + [F.sum(F.when(cond, F.col(weight)).otherwise(0)).alias(name)
                                              for name, cond in extra_counts]

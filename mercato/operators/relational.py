@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,24 @@ def keep_frequent(df: DataFrame, cols: Sequence[str], min_count: int) -> DataFra
     return out
 
 
+def frequent_combinations(df: DataFrame, cols: Sequence[str], min_count: int) -> DataFrame:
+    """Rows of ``keep_frequent`` per combination of ``cols`` (count ``n``), from one scan.
+
+    Rows are counted per combination first; every filter then runs on the counts, so a
+    window sees the combinations of one value, however many rows the value has."""
+    out = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    for c in cols:
+        total = F.sum("n").over(Window.partitionBy(c))
+        out = out.withColumn("_total", total).filter(F.col(c).isNotNull() & (F.col("_total") > min_count)).drop("_total")
+    return out
+
+
+def seeded_hash(*cols: str, seed: int) -> Column:
+    """48 bits of a digest of the columns and a seed: a whole number that other engines can compute too."""
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("bigint")
+
+
 def calendar_spine(df: DataFrame, keys: Sequence[str], date_col: str, step: str = "1 day",
                    global_range: bool = True) -> DataFrame:
     """(key, date) grid from the first to the last date.  With ``global_range``

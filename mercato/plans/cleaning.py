@@ -10,7 +10,7 @@ from mercato.operators.clean import (
     dense_label_map, mad_z_filter_counts, median_impute, null_profile, quantile_trim,
     safe_downcast_types, two_stage_trim, zscore_counts,
 )
-from mercato.operators.relational import keep_frequent
+from mercato.operators.relational import frequent_combinations
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, tracking
 
@@ -84,8 +84,8 @@ s3 AS (SELECT * FROM s2 WHERE catalog_id IN (SELECT catalog_id FROM s2 GROUP BY
 SELECT catalog_id, brand_title, size_title, COUNT(*) AS n FROM s3 GROUP BY ALL""")
 def frequent_label_filter(spark, sf):
     tr = tracking(Tables(spark, sf))
-    kept = keep_frequent(tr, ["size_title", "brand_title", "catalog_id"], 1200)
-    return kept.groupBy("catalog_id", "brand_title", "size_title").agg(F.count(F.lit(1)).alias("n"))
+    return frequent_combinations(tr, ["size_title", "brand_title", "catalog_id"], 1200).select(
+        "catalog_id", "brand_title", "size_title", "n")
 
 
 @register("equality_filter", "C6", sql="""

@@ -35,7 +35,12 @@ def _tracking_features(spark, sf):
     return model.transform(tr), model
 
 
-@register("onehot_features", "K2+C12")
+@register("onehot_features", "K2+C12", sql="""
+WITH k AS (SELECT CAST(COUNT(DISTINCT catalog_id) + COUNT(DISTINCT brand_title) + COUNT(DISTINCT size_title)
+                       + COUNT(DISTINCT status) + 4 * 2 + 3 AS INTEGER) AS n FROM tracking)
+SELECT order_id, package_size_id, n AS n_features,
+       4 + (view_count <> 0)::INTEGER + (discount <> 0)::INTEGER + (package_size_id <> 0)::INTEGER AS nnz
+FROM tracking, k""")
 def onehot_features(spark, sf):
     x, _ = _tracking_features(spark, sf)
     arr = vector_to_array("features")

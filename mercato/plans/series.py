@@ -237,9 +237,13 @@ def adf_stationarity(spark, sf):
     return S.adf_by_series(family_daily(spark, sf), "family_id", "date", "qtt", lags=1)
 
 
-@register("weekly_product_series_stats", "E22+F12")
+@register("weekly_product_series_stats", "E22+F12", sql="""
+WITH weekly AS (SELECT product_id, date_trunc('week', date) AS week, SUM(qtt) AS qtt FROM demand GROUP BY ALL)
+SELECT product_id, COUNT(*) AS n_weeks,
+       round(CASE WHEN stddev_pop(qtt) = 0 THEN 0.0 ELSE (MAX(qtt) - AVG(qtt)) / stddev_pop(qtt) END, 6) AS max_z
+FROM weekly GROUP BY product_id""")
 def weekly_product_series_stats(spark, sf):
-    """Per product: weekly demand series z-normed, summarised (rows-only check)."""
+    """Per product: weekly demand series z-normed, summarised."""
     d = demand(Tables(spark, sf))
     weekly = d.groupBy("product_id", F.date_trunc("week", "date").alias("week")).agg(F.sum("qtt").alias("qtt"))
     z = S.znorm(weekly, "product_id", "qtt")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mercato.operators.relational import seeded_hash
 from mercato.plans.registry import register
 from mercato.sinks.writers import sample_export
 from mercato.sources.tables import Tables, tracking
@@ -29,16 +30,22 @@ def ordered_limit_sample(spark, sf):
     return tr.orderBy(F.desc("date"), "order_id", "package_size_id").limit(1000)
 
 
-@register("hash_train_test_split", "G5")
+@register("hash_train_test_split", "G5", sql="""
+SELECT CASE WHEN ('0x' || substr(md5(order_id || ':' || package_size_id || ':7'), 1, 12))::BIGINT % 100 < 80
+            THEN 'train' ELSE 'test' END AS split, catalog_id, COUNT(*) AS n
+FROM tracking GROUP BY ALL""")
 def hash_train_test_split(spark, sf):
     """Stable 80/20 split by a seeded key hash; counts per split and catalogue."""
     tr = tracking(Tables(spark, sf))
-    bucket = F.pmod(F.xxhash64("order_id", "package_size_id", F.lit(7)), F.lit(100))
+    bucket = seeded_hash("order_id", "package_size_id", seed=7) % 100
     split = F.when(bucket < 80, "train").otherwise("test")
     return tr.groupBy(split.alias("split"), "catalog_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("stratified_split", "G5")
+@register("stratified_split", "G5", sql="""
+WITH r AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS place,
+                  COUNT(*) OVER (PARTITION BY label) AS k FROM embeddings)
+SELECT label, CASE WHEN place < 0.75 * k THEN 'train' ELSE 'test' END AS split, COUNT(*) AS n FROM r GROUP BY ALL""")
 def stratified_split(spark, sf):
     """Per-class 75/25 split by hash rank within class (class proportions kept
     exactly; ranks computed per hash range, see ``hash_rank_within``)."""
@@ -70,14 +77,17 @@ def distinct_pairs(spark, sf):
     return tracking(Tables(spark, sf)).select("product_id", "catalog_id").distinct()
 
 
-@register("exact_n_sample", "G10")
+@register("exact_n_sample", "G10", sql="""
+SELECT doc_id, lang FROM documents
+ORDER BY ('0x' || substr(md5(doc_id || ':11'), 1, 12))::BIGINT, doc_id LIMIT 100""")
 def exact_n_sample(spark, sf):
     """Exactly n rows without replacement: smallest seeded hashes (a sampling operator)."""
     d = Tables(spark, sf).documents.select("doc_id", "lang")
-    return d.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(100)
+    return d.orderBy(seeded_hash("doc_id", seed=11), "doc_id").limit(100)
 
 
-@register("fraction_sample_export", "B4")
+@register("fraction_sample_export", "B4", sql="""
+SELECT * FROM tracking WHERE ('0x' || substr(md5(order_id || ':42'), 1, 12))::BIGINT % 1000000 < 10000""")
 def fraction_sample_export(spark, sf):
     """1 % deterministic sample of the snapshot table (hash-bucket filter)."""
     return sample_export(tracking(Tables(spark, sf)), 0.01, "order_id")

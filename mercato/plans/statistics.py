@@ -304,7 +304,16 @@ def minmax_scaled_sellers(spark, sf):
     return minmax_scale(s, ["n_rows", "value"], digits=6)
 
 
-@register("price_kde", "E31")
+@register("price_kde", "E31", sql="""
+WITH s AS (SELECT MIN(price_numeric) AS lo, MAX(price_numeric) AS hi, stddev_samp(price_numeric) AS sd,
+                  COUNT(*)::DOUBLE AS n FROM tracking),
+b AS (SELECT least(floor((price_numeric - lo) / (hi - lo) * 200)::INTEGER, 199) AS bin, COUNT(*) AS c
+      FROM tracking, s GROUP BY 1),
+g AS (SELECT unnest(range(100))::INTEGER AS grid_idx)
+SELECT grid_idx, round(lo + grid_idx * (hi - lo) / 99.0, 4) AS x,
+       round(SUM(c * exp(-0.5 * pow((lo + grid_idx * (hi - lo) / 99.0 - (lo + (bin + 0.5) * (hi - lo) / 200))
+                                    / (sd * pow(n, -0.2)), 2))) / (n * sd * pow(n, -0.2) * sqrt(2 * pi())), 12) AS density
+FROM g, s, b GROUP BY grid_idx, lo, hi, sd, n""")
 def price_kde(spark, sf):
     """Gaussian KDE of prices on a 100-point grid, binned first (200 bins),
     Scott bandwidth.  Bins and grid are bounded; rows are only counted."""
@@ -324,7 +333,7 @@ def price_kde(spark, sf):
     center = lambda bn: F.col("lo") + (bn + 0.5) * (F.col("hi") - F.col("lo")) / nb
     dens = F.aggregate(F.col("bins"), F.lit(0.0), lambda acc, s: acc + s["c"] * F.exp(
         -0.5 * F.pow((gx - center(s["bin"])) / F.col("h"), 2))) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))
-    return grid.select(F.col("g").alias("grid_idx"), F.round(gx, 4).alias("x"), dens.alias("density"))
+    return grid.select(F.col("g").alias("grid_idx"), F.round(gx, 4).alias("x"), F.round(dens, 12).alias("density"))
 
 
 @register("partial_correlation_edges", "K22")

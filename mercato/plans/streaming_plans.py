@@ -47,7 +47,10 @@ def backfill_hourly_windows(spark, sf):
     return J.hourly_windows(J.deduplicated(J.events_batch(spark, sf), streaming=False))
 
 
-@register("stream_fan_out", "L7")
+@register("stream_fan_out", "L7", sql="""
+SELECT 'items' AS "table", COUNT(*) AS n FROM events
+UNION ALL SELECT 'users', COUNT(*) FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT 'actions', SUM(k)::BIGINT FROM (SELECT COUNT(*) AS k FROM events GROUP BY event_type)""")
 def stream_fan_out(spark, sf):
     return J.fan_out(J.events_stream(spark, sf), "fanout").select("table", F.col("n").cast("bigint").alias("n"))
 

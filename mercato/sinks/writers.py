@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.operators.relational import latest_per_key
+from mercato.operators.relational import latest_per_key, seeded_hash
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -81,7 +81,7 @@ def upsert_partitions(incoming: DataFrame, path: str, keys: Sequence[str], order
 def sample_export(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
     """Deterministic sample: rows whose seeded key hash falls in the first
     ``fraction`` of the hash space (same rows on every run and partitioning)."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
+    bucket = seeded_hash(key, seed=seed) % 1_000_000
     return df.filter(bucket < int(fraction * 1_000_000))
 
 

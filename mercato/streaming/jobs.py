@@ -24,9 +24,11 @@ from mercato.sources.tables import SCHEMAS
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """File-source stream of the events table (schema fixed, bounded chunks)."""
-    return (spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    """File-source stream of the events table, one file or a folder of files (schema fixed, bounded chunks).
+
+    The path is a pattern that matches this one name: a stream's plain path must be a folder."""
+    return (spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", max_files)
+            .parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,15 @@ import tempfile
 from pyspark.sql import functions as F
 
 from mercato.operators.html import extract_articles, listing_features, parse_listings
+from mercato.operators.relational import frequent_combinations, keep_frequent
 from mercato.sinks.writers import date_dimension, merge_latest, upsert_partitions
 from mercato.sources.files import (
     LOCATION_SCHEMA, flatten_location_tree, flatten_struct, read_csv, read_html_dir, read_paged_json,
     split_items_users,
 )
+from mercato.streaming import jobs
+
+SF = "/root/testdata/sf0.001"
 
 LISTING_HTML = """<html><body><article class="item"><a class="item-link" title="Apartamento T2 na Rua Nova" href="/i/1"></a>
 <span class="item-price">1.250.000€</span><span class="item-parking"></span>
@@ -77,6 +81,43 @@ def test_paged_json_and_users(spark):
     assert users.count() == 2 and "user_id" in it.columns
 
 
+def test_users_are_described_by_their_latest_item(spark):
+    rows = [(1, (10, "old", "fr")), (3, (10, "new", "pt")), (2, (11, "v", None)), (2, (11, "v", None)), (4, None)]
+    items = spark.createDataFrame(rows, "id long, user struct<id: long, login: string, country_code: string>")
+    it, users = split_items_users(items.repartition(4))
+    assert sorted(tuple(r) for r in users.filter("id is not null").collect()) == [(10, "new", "pt"), (11, "v", None)]
+    assert it.count() == 5
+
+
+def test_html_reader_leaves_the_session_alone(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    d = tempfile.mkdtemp(prefix="html-")
+    for i in range(3):
+        with open(os.path.join(d, f"p{i}.html"), "w") as f:
+            f.write(f"<p>{i}</p>")
+    assert read_html_dir(spark, d).count() == 3
+    assert before == {k: spark.conf.get(k) for k in before}
+
+
+def test_stream_reads_a_folder_of_files(spark):
+    """A table of several files streams like one of a single file."""
+    base = tempfile.mkdtemp(prefix="events-")
+    events = jobs.events_batch(spark, SF)
+    events.repartitionByRange(4, "event_id").write.parquet(os.path.join(base, "events.parquet"))
+    want = {r["table"]: r["n"] for r in jobs.fan_out(jobs.events_stream(spark, SF), "one").collect()}
+    got = {r["table"]: r["n"] for r in jobs.fan_out(jobs.events_stream(spark, base), "four").collect()}
+    assert got == want and got["items"] == events.count() > 0
+
+
+def test_frequent_combinations_agree_with_row_filters(spark):
+    rows = [(i % 3, i % 7, i % 2) for i in range(100)] + [(None, 1, 1)] * 40 + [(0, None, 0)] * 40
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    cols = ["a", "b", "c"]
+    want = keep_frequent(df, cols, 14).groupBy(*cols).count().collect()
+    got = frequent_combinations(df, cols, 14).collect()
+    assert sorted(map(tuple, got)) == sorted((r["a"], r["b"], r["c"], r["count"]) for r in want) and got
+
+
 def test_csv_and_flatten(spark):
     d = tempfile.mkdtemp(prefix="csv-")
     with open(os.path.join(d, "prices.csv"), "w") as f:
