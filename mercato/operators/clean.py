@@ -76,9 +76,6 @@ def zscore_counts(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
         F.count_if((v >= F.col("q1") - 1.5 * iqr) & (v <= F.col("q3") + 1.5 * iqr)).alias("n_iqr_kept"))
 
 
-mad_z_filter_counts = zscore_counts
-
-
 def safe_downcast_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Smallest integer type holding each column's [min, max] (one aggregate)."""
     row = df.agg(*[F.min(c).cast("bigint").alias(f"{c}__min") for c in cols],

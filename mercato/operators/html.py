@@ -8,7 +8,6 @@ derives the typed columns with built-in expressions only.
 
 from __future__ import annotations
 
-import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -159,6 +158,3 @@ def page_text(pages: DataFrame) -> DataFrame:
     text = F.trim(F.regexp_replace(F.regexp_replace("html", r"<[^>]+>", " "), r"\s+", " "))
     return pages.select("page_id", F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"),
                         text.alias("text"))
-
-
-_ = re

@@ -149,7 +149,6 @@ def znorm(df: DataFrame, key: str, v: str) -> DataFrame:
 
 def feature_matrix(df: DataFrame, key: str, time: str, v: str) -> DataFrame:
     w = _w(key, time)
-    cal = {c._jc.toString(): c for c in calendar_columns(time)}  # noqa: F841 - names below
     cols = [F.lag(v, 1).over(w).alias(f"AR_{v}_1"), F.lag(v, 7).over(w).alias(f"AR_{v}_7"),
             *rolling_columns(key, time, v, 6, ("MA", "MAX"))]
     cal_cols = [c for c in calendar_columns(time)]

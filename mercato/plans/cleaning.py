@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mercato.operators.clean import (
-    dense_label_map, mad_z_filter_counts, median_impute, null_profile, quantile_trim,
+    dense_label_map, median_impute, null_profile, quantile_trim,
     safe_downcast_types, two_stage_trim, zscore_counts,
 )
 from mercato.operators.relational import frequent_combinations

@@ -9,7 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvalu
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -305,6 +305,3 @@ def embedding_svm_report(spark, sf):
                     labelCol="label_d").fit(train.withColumn("label_d", F.col("label").cast("double")))
     pred = ovr.transform(test).withColumn("predicted", F.col("prediction").cast("int"))
     return class_report(pred, "label", "predicted")
-
-
-_ = ParamGridBuilder

@@ -7,7 +7,6 @@ not by how many raw rows a hot key has.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mercato.operators import series as S
@@ -248,6 +247,3 @@ def weekly_product_series_stats(spark, sf):
     weekly = d.groupBy("product_id", F.date_trunc("week", "date").alias("week")).agg(F.sum("qtt").alias("qtt"))
     z = S.znorm(weekly, "product_id", "qtt")
     return z.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_weeks"), F.round(F.max("z"), 6).alias("max_z"))
-
-
-_ = Window  # re-exported for plan authors
