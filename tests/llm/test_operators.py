@@ -245,6 +245,26 @@ def test_repeated_passages(make, prose):
     assert passages.repeated_passages(make(rows).limit(0)).count() == 0
 
 
+def test_common_passages_merges_runs():
+    def shared(a, b):
+        return passages.common_passages(*(shingles.batch_words([" ".join(w)])[0] for w in (a, b)), 5, 50, 80)
+
+    w = [f"w{i}" for i in range(400)]
+    put = w[:49] + [f"x{i}" for i in range(6)] + w[49:98]
+    assert shared(w[:98], put) == [(0, 98, 0, 104, 90 / 104)]
+    two = w[:45] + ["x"] + w[46:50] + ["y"] + w[51:100]
+    assert shared(w[:100], two) == [(0, 100, 0, 100, 86 / 106)]
+    # a near passage inside a loose run: every 45th word of 0..134 changed, then every 6th
+    loose = [f"x{i}" if i % 45 == 40 and i < 135 or i % 6 == 0 and i >= 135 else x for i, x in enumerate(w)]
+    assert any(s == 0 and n >= 120 and j >= 0.8 for s, n, _, _, j in shared(w, loose))
+    # a passage of words that repeat, beside an ordinary one
+    flat = ["a", "b"] * 40
+    got = shared(w[:60] + ["p"] + flat, flat + ["q"] + w[:60])
+    assert {(s, n) for s, n, _, _, _ in got} >= {(0, 60)} and any(s >= 61 and n >= 50 for s, n, _, _, _ in got)
+    # swapped passages are two chains
+    assert {x[:4] for x in shared(w[:60] + w[100:160], w[100:160] + w[:60])} == {(0, 60, 60, 60), (60, 60, 0, 60)}
+
+
 # -- 5 mixing ---------------------------------------------------------------------------------------------------
 
 def fill(sizes, weights, cap):
