@@ -245,6 +245,24 @@ def test_repeated_passages(make, prose):
     assert passages.repeated_passages(make(rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("many", [0, 10**9])
+def test_repeated_passages_behind_unlike_members(make, prose, monkeypatch, many):
+    """A very common line stands in texts that share nothing else; pairs of later texts share a passage around it:
+    none is lost behind the smaller ids."""
+    monkeypatch.setattr(passages, "MANY_PAIRS", many, raising=False)
+    line = prose(700, 44).replace("\n", " ")
+    rows = [(i, prose(i, 60) + "\n" + line + "\n" + prose(100 + i, 60), "s") for i in range(8)]
+    want = set()
+    for i in range(20, 40, 4):
+        passage = prose(700 + i, 3) + "\n" + line + "\n" + prose(800 + i, 3)
+        tail = prose(900 + i, 70)
+        rows += [(i, prose(i, 60) + "\n" + passage + "\n" + prose(200 + i, 60), "s"),
+                 (i + 1, prose(300 + i, 60) + "\n" + passage + "\n" + prose(400 + i, 60) + "\n" + tail, "s"),
+                 (i + 2, prose(500 + i, 30) + "\n" + tail, "s")]
+        want |= {(i + 1, i), (i + 2, i + 1)}
+    assert {(r["doc_id"], r["other_id"]) for r in passages.repeated_passages(make(rows)).collect()} == want
+
+
 def test_common_passages_merges_runs():
     def shared(a, b):
         return passages.common_passages(*(shingles.batch_words([" ".join(w)])[0] for w in (a, b)), 5, 50, 80)
