@@ -4,6 +4,7 @@ rows, empty tables, further columns with clashing names."""
 import collections
 import hashlib
 import html
+import inspect
 import itertools
 import random
 import re
@@ -263,6 +264,21 @@ def test_repeated_passages_behind_unlike_members(make, prose, monkeypatch, many)
     assert {(r["doc_id"], r["other_id"]) for r in passages.repeated_passages(make(rows)).collect()} == want
 
 
+def test_passage_bands_find_near_equal_windows():
+    """Passages of 50 words with one word changed: brute force finds each alike, so each needs a key in common."""
+    own = inspect.signature(passages.repeated_passages).parameters
+    seeds = np.random.default_rng(41).integers(1, 2**63, (own["bands"].default, own["rows"].default), dtype=np.uint64)
+    r, missed = np.random.default_rng(5), 0
+    for _ in range(300):
+        a = r.integers(1, 2**63, 50, dtype=np.uint64)
+        b = a.copy()
+        b[r.integers(5, 45)] = r.integers(1, 2**63)
+        assert passages.common_passages(a, b, 5, 50, 80)
+        x, y = (passages.window_keys(shingles.chain(w, 5), seeds, 46)[0] for w in (a, b))
+        missed += not len(np.intersect1d(x, y))
+    assert missed == 0
+
+
 def test_common_passages_merges_runs():
     def shared(a, b):
         return passages.common_passages(*(shingles.batch_words([" ".join(w)])[0] for w in (a, b)), 5, 50, 80)
