@@ -4,12 +4,13 @@ Signatures are ``min(xxhash64(shingle, seed))`` aggregates (JVM-side, map-side
 combined).  Instead of emitting every pair inside an LSH bucket, each member is
 linked to the bucket's smallest id (its representative): output grows linearly
 with bucket size even for a bucket holding a third of the corpus.  Every link is
-then verified with the exact Jaccard similarity of the two shingle sets.
+then verified with the exact Jaccard similarity of the two shingle sets; members that this
+leaves without a link are compared with every earlier member of their buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.operators.textops import ngrams
@@ -39,11 +40,44 @@ def near_duplicates(df: DataFrame, key: str, text: str, shingle: int = 5, bands:
     rep = bk.groupBy("band", "bucket").agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("members"))
     cand = (bk.join(rep.filter("members > 1"), ["band", "bucket"])
             .filter(F.col(key) != F.col("rep")).select(key, "rep").distinct())
+    sizes = sig.select(key, F.col("n_sh").alias("n"))
+    found = similarities(cand, sh, sizes, key).filter(F.round("jaccard", 6) >= threshold)
+    # who is not like its buckets' smallest ids is compared with every earlier member of its buckets
+    rest = bk.join(found.select(key).distinct(), key, "left_anti")
+    earlier = bk.select(F.col(key).alias("rep"), "band", "bucket")
+    more = rest.join(earlier, ["band", "bucket"]).filter(F.col("rep") < F.col(key)).select(key, "rep").distinct()
+    more = more.join(cand, [key, "rep"], "left_anti")
+    found = found.unionByName(similarities(more, sh, sizes, key).filter(F.round("jaccard", 6) >= threshold))
+    return found.select(key, "rep", F.round("jaccard", 6).alias("jaccard"))
+
+
+def similarities(pairs: DataFrame, sh: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
+    """Exact Jaccard similarity of the pairs (key, rep) that have a shingle in common."""
     rep_sh = sh.select(F.col(key).alias("rep"), "gram")
-    inter = (cand.join(sh, key).join(rep_sh, ["rep", "gram"])
+    inter = (pairs.join(sh, key).join(rep_sh, ["rep", "gram"])
              .groupBy(key, "rep").agg(F.count(F.lit(1)).alias("inter")))
-    sizes = sig.select(key, "n_sh")
-    rep_sizes = sig.select(F.col(key).alias("rep"), F.col("n_sh").alias("rep_sh"))
-    j = inter.join(sizes, key).join(rep_sizes, "rep")
-    jac = F.col("inter") / (F.col("n_sh") + F.col("rep_sh") - F.col("inter"))
-    return j.select(key, "rep", F.round(jac, 6).alias("jaccard")).filter(F.col("jaccard") >= threshold)
+    j = inter.join(sizes, key).join(sizes.select(F.col(key).alias("rep"), F.col("n").alias("n_rep")), "rep")
+    return j.select(key, "rep", (F.col("inter") / (F.col("n") + F.col("n_rep") - F.col("inter"))).alias("jaccard"))
+
+
+def exact_links(sh: DataFrame, key: str, percent: int) -> DataFrame:
+    """(key, rep, jaccard): for every document with an earlier one of at least ``percent`` % similarity, at least one.
+
+    Each shingle first offers its smallest id.  Who is not linked by that is compared with every earlier document
+    that the exact prefix filter leaves: similar sets share one of the rarest n - ceil(n * percent / 100) + 1
+    shingles of each, and their sizes are within the same bound."""
+    df = sh.groupBy("gram").agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("df"))
+    sizes = sh.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    enough = F.col("jaccard") >= percent / 100
+    first = sh.join(df.filter("df > 1"), "gram").filter(F.col("rep") < F.col(key)).select(key, "rep").distinct()
+    found = similarities(first, sh, sizes, key).filter(enough)
+    rank = F.row_number().over(Window.partitionBy(key).orderBy("df", "gram"))
+    n = F.col("n")
+    prefix = (sh.join(df.drop("rep"), "gram").withColumn("at", rank).join(sizes, key)
+              .filter(F.col("at") <= n - F.ceil(n * percent / 100) + 1).filter("df > 1").select(key, "gram", "n"))
+    rest = prefix.join(found.select(key).distinct(), key, "left_anti")
+    earlier = prefix.select(F.col(key).alias("rep"), "gram", F.col("n").alias("m"))
+    more = rest.join(earlier, "gram").filter((F.col("rep") < F.col(key)) & (
+        100 * F.least("n", "m") >= percent * F.greatest("n", "m"))).select(key, "rep").distinct()
+    more = more.join(first, [key, "rep"], "left_anti")
+    return found.unionByName(similarities(more, sh, sizes, key).filter(enough))

@@ -233,16 +233,10 @@ SELECT c.doc_id, c.rep, round(inter / (na.n + nb.n - inter), 6) AS jaccard
 FROM c JOIN n na ON na.doc_id = c.doc_id JOIN n nb ON nb.doc_id = c.rep
 WHERE inter / (na.n + nb.n - inter) >= 0.7""")
 def exact_jaccard_blocks(spark, sf):
-    """Documents whose exact Jaccard similarity (5-word shingles) with an earlier one is at least 0.7.  Every shingle is
-    a block; a member is compared with the block's smallest id, so a block costs linear, not quadratic, work, and
-    an earlier copy is met at any shingle that it was the first to have."""
+    """Documents whose exact Jaccard similarity (5-word shingles) with an earlier one is at least 0.7, each with at
+    least one such: the smallest ids of its shingles, or, if none of them is alike, all earlier ones by an exact
+    prefix filter.  (The SQL knows the smallest ids only.)"""
+    from mercato.operators.neardup import exact_links
     docs = Tables(spark, sf).documents.select("doc_id", "text")
     sh = X.ngrams(docs, "doc_id", "text", 5, short=True).select("doc_id", F.xxhash64("gram").alias("gram")).distinct()
-    rep = sh.groupBy("gram").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    m = sh.join(rep, "gram").filter("rep < doc_id").select("doc_id", "rep").distinct()
-    inter = (m.join(sh, "doc_id").join(sh.select(F.col("doc_id").alias("rep"), "gram"), ["rep", "gram"])
-             .groupBy("doc_id", "rep").agg(F.count(F.lit(1)).alias("inter")))
-    n = sh.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    x = inter.join(n, "doc_id").join(n.select(F.col("doc_id").alias("rep"), F.col("n").alias("n_rep")), "rep")
-    jac = F.col("inter") / (F.col("n") + F.col("n_rep") - F.col("inter"))
-    return x.select("doc_id", "rep", jac.alias("j")).filter("j >= 0.7").select("doc_id", "rep", F.round("j", 6).alias("jaccard"))
+    return exact_links(sh, "doc_id", 70).select("doc_id", "rep", F.round("jaccard", 6).alias("jaccard"))
