@@ -100,13 +100,14 @@ class _Page:
     """One page's blocks: [text parts, link characters, in boilerplate, in article, is heading]."""
 
     def __init__(self) -> None:
-        self.blocks: list[tuple[str, int, bool, bool, bool]] = []
+        self.blocks: list[tuple[str, int, bool, tuple[int, ...], bool]] = []
         self.stack: list[tuple[str, bool, bool]] = []
         self.parts: list[str] = []
         self.links = 0
         self.in_link = 0
         self.bad = 0
-        self.article = 0
+        self.article: tuple[int, ...] = ()
+        self.articles = 0
 
     def text(self, raw: str) -> None:
         if raw:
@@ -120,21 +121,24 @@ class _Page:
             text = " ".join("".join(self.parts).split())
             if text:
                 heading = any(n in HEADINGS for n, _, _ in self.stack[-3:])
-                self.blocks.append((text, self.links, self.bad > 0, self.article > 0, heading))
+                self.blocks.append((text, self.links, self.bad > 0, self.article, heading))
             self.parts = []
         self.links = 0
 
     def push(self, name: str, bad: bool, article: bool) -> None:
         self.stack.append((name, bad, article))
         self.bad += bad
-        self.article += article
+        if article:
+            self.articles += 1
+            self.article += (self.articles,)
 
     def pop_to(self, name: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == name:
                 for gone, bad, article in self.stack[i:]:
                     self.bad -= bad
-                    self.article -= article
+                    if article:
+                        self.article = self.article[:-1]
                     if gone == "a":
                         self.in_link -= 1
                 del self.stack[i:]
@@ -156,7 +160,7 @@ class _Page:
         if name in VOID:
             return
         bad, good = _marks(attributes) if attributes and not attributes.isspace() else (False, False)
-        in_article = self.article > 0
+        in_article = bool(self.article)
         if name in BOILERPLATE or name == "header" and not in_article:
             bad = True
         if name in ("html", "body"):
@@ -174,8 +178,9 @@ class _Page:
         self.pop_to(name)
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """Text blocks of a page in page order: text, characters in links, in boilerplate, in the article, heading."""
+def blocks(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool]]:
+    """Text blocks of a page in page order: text, characters in links, in boilerplate, the article containers around
+    it (numbered, outermost first), heading."""
     out, at, end = _Page(), 0, len(page)
     while at < end:
         m = _TAG_QUICK.search(page, at)
@@ -206,33 +211,43 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool, bool]]:
 GOOD, BAD, NEAR, SHORT = "good", "bad", "near", "short"
 
 
+def _excluded(block, rules: Rules) -> bool:
+    text, links, bad = block[:3]
+    return bad or links / max(1, len(text) - text.count(" ")) > rules.link_share
+
+
+def _by_density(text: str, rules: Rules) -> str:
+    if len(text) < rules.short:
+        return SHORT
+    words = text.lower().split()
+    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    if stops >= rules.high_stop:
+        return GOOD if len(text) > rules.long else NEAR
+    return NEAR if stops >= rules.low_stop else BAD
+
+
 def first_pass(found, rules: Rules) -> list[str]:
-    """Label of each block on its own."""
+    """Label of each block on its own.
+
+    A container votes for its blocks if those without boilerplate and links are longer than ``rules.long`` together;
+    the blocks of others are judged as if they stood outside.  Only on a page where no container votes and no block
+    outside is good by itself, all containers do: they are all that is known of it."""
+    size: dict[int, int] = {}
     labels = []
-    has_article = any(article and not bad for _, _, bad, article, _ in found)
     for text, links, bad, article, _ in found:
-        n = len(text)
-        share = links / max(1, n - text.count(" "))
-        if bad or share > rules.link_share:
+        if _excluded((text, links, bad), rules):
             labels.append(BAD)
             continue
-        if article:
-            labels.append(GOOD)
-            continue
-        if has_article:
-            labels.append(BAD)
-            continue
-        words = text.lower().split()
-        stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-        if n < rules.short:
-            labels.append(SHORT)
-        elif stops >= rules.high_stop:
-            labels.append(GOOD if n > rules.long else NEAR)
-        elif stops >= rules.low_stop:
-            labels.append(NEAR)
-        else:
-            labels.append(BAD)
-    return labels
+        labels.append(None)
+        for c in article:
+            size[c] = size.get(c, 0) + len(text)
+    voting = {c for c, n in size.items() if n > rules.long}
+    for i, (text, _, _, article, _) in enumerate(found):
+        if labels[i] is None and not (article and article[-1] in voting):
+            labels[i] = _by_density(text, rules)
+    if not voting and not any(x == GOOD and not b[3] for x, b in zip(labels, found)):
+        labels = [GOOD if b[3] and not _excluded(b, rules) else x for x, b in zip(labels, found)]
+    return [x or GOOD for x in labels]
 
 
 def second_pass(found, labels: list[str]) -> list[bool]:

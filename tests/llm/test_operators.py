@@ -86,6 +86,16 @@ def test_html_without_article_uses_densities(prose):
     assert html_text.main_text(page)[0] == "\n\n".join(["A heading", long, short, long])
 
 
+def test_html_article_is_a_vote(prose):
+    long, other = prose(1, 80).replace("\n", " "), prose(2, 80).replace("\n", " ")
+    page = f"<div>{long}</div><article><a href=x>A related headline</a></article>"
+    assert html_text.main_text(page)[0] == long
+    cards = "".join(f"<article><h3><a href='/{i}'>Headline {i}</a></h3><p>Teaser {i}.</p></article>" for i in range(4))
+    assert html_text.main_text(f"<div><p>{long}</p><p>{other}</p></div><div>Imprint</div>{cards}")[0] == f"{long}\n\n{other}"
+    assert html_text.main_text(f"<main><p>{long}</p>{cards}</main>")[0] == long
+    assert html_text.main_text(f"<article><p>{long}</p></article><div>{other}</div>")[0] == f"{long}\n\n{other}"
+
+
 def test_html_odd_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", None, "c"), (2, "u", "", "c"), (3, None, "<p", "c"), (4, "u", "<article><p>x<p>y", "c"),
