@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from mercato.llm import (fingerprints, html_text, minhash, mixing, packing, passages, pii, quality, sharding, shingles,
                          token_files)
@@ -503,6 +504,19 @@ def test_pii_base_spans(make):
         assert got[i]["spans"].startswith(said)
 
 
+def test_pii_hints_are_necessary(make):
+    """Whatever a kind's pattern finds, its hint finds too (a card: of 16 digits or more, others are not valid)."""
+    r = random.Random(4)
+    texts = ["pwd: ABCD-EFGH-12345678", "token = live_20240131_99"]
+    for letters in ("aB1_-/+ ", "12-() .+", "a1.@b- ", "0 1-2"):
+        texts += ["".join(r.choice(letters) for _ in range(r.randint(12, 40))) for _ in range(150)]
+    df = make([(i, t, "s") for i, t in enumerate(texts)])
+    for kind, pattern in (pii.PATTERNS | {"card": r"[0-9](?:[\x20-]?[0-9]){15}"}).items():
+        assert df.filter(F.col("text").rlike(pattern) & ~F.col("text").rlike(pii.HINTS[kind])).count() == 0, kind
+    got = df.filter("doc_id < 2").orderBy("doc_id").select(F.size(pii.spans(F.col("text"), "secret")).alias("n")).collect()
+    assert [x["n"] for x in got] == [1, 1]
+
+
 def test_pii_adds_secrets_and_leaves_prose(make, prose):
     r = random.Random(5)
     hexa = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
