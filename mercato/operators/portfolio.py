@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Assets of a basket study: their baskets are enumerated from one row.
+#: Assets of a basket study (it has 2**k - 1 baskets), and of a covariance matrix.
 MOST_ASSETS = 16
+MOST_COVARIANCE_ASSETS = 100
 
 
 def daily_asset_prices(tr: DataFrame, days: int, asset: str = "catalog_id") -> DataFrame:
@@ -22,6 +23,14 @@ def daily_asset_prices(tr: DataFrame, days: int, asset: str = "catalog_id") -> D
     return recent.groupBy("date", F.col(asset).alias("asset")).agg(F.median("price_numeric").alias("price"))
 
 
+def price_assets(prices: DataFrame, most: int = MOST_ASSETS) -> list[str]:
+    """All assets that have prices, in order; more than ``most`` are an error."""
+    found = [r[0] for r in prices.select("asset").filter("asset is not null").distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} assets")
+    return sorted(found)
+
+
 def asset_covariance(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
     """Long (asset_a, asset_b, cov) sample covariance over dates both assets priced."""
     wide = prices.groupBy("date").pivot("asset", list(assets)).agg(F.first("price"))
@@ -46,7 +55,7 @@ def basket_metrics(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
     revenue = w.median, volatility = sqrt(w' S w), VaR = w.(median - q05),
     Sharpe = revenue / volatility, plus the equal-weight benchmark ratio.
     The k asset statistics and the k x k covariance ride along as arrays on
-    one row; baskets are generated from it, so nothing is joined pairwise.
+    one row; baskets are a range that Spark partitions, each joined to that row.
     The assets are a parameter of at most ``MOST_ASSETS``; prices of other assets are left out."""
     assets = sorted(assets)
     k = len(assets)
@@ -57,8 +66,7 @@ def basket_metrics(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
     st = asset_stats(prices).agg(F.sort_array(F.collect_list(F.struct("asset", "med", "q05"))).alias("st"))
     cov = asset_covariance(prices, assets)
     cm = cov.select(F.sort_array(F.collect_list(F.struct("asset_a", "asset_b", "cov")))).scalar()
-    base = st.withColumn("cm", cm).select(
-        "st", "cm", F.explode(F.sequence(F.lit(1), F.lit(2 ** k - 1))).alias("pid"))
+    base = prices.sparkSession.range(1, 2 ** k).toDF("pid").crossJoin(F.broadcast(st.withColumn("cm", cm)))
     idx = F.sequence(F.lit(0), F.lit(k - 1))
     w = lambda i: F.floor(F.col("pid") / F.pow(F.lit(2.0), i)) % 2  # bit i of the basket id
     med = lambda i: F.get(F.col("st"), i)["med"]

@@ -13,7 +13,7 @@ from mercato.operators.stats import (
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, demand, tracking
 
-# Catalogues of the basket and covariance studies (a parameter of those).
+# Catalogue words (a parameter of the text queries that remove or look for them).
 CATALOG_VALUES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -230,9 +230,9 @@ SELECT a.catalog_id AS asset_a, b.catalog_id AS asset_b, round(covar_samp(a.pric
 FROM daily a JOIN daily b ON a.date = b.date
 GROUP BY a.catalog_id, b.catalog_id""")
 def catalog_price_covariance(spark, sf):
-    from mercato.operators.portfolio import asset_covariance, daily_asset_prices
+    from mercato.operators.portfolio import MOST_COVARIANCE_ASSETS, asset_covariance, daily_asset_prices, price_assets
     prices = daily_asset_prices(tracking(Tables(spark, sf)), 365)
-    cov = asset_covariance(prices, CATALOG_VALUES)
+    cov = asset_covariance(prices, price_assets(prices, MOST_COVARIANCE_ASSETS))
     return cov.select("asset_a", "asset_b", F.round("cov", 2).alias("cov"))
 
 

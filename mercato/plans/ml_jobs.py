@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from mercato.operators import ml as M
 from mercato.operators.evaluation import class_report
-from mercato.operators.portfolio import basket_metrics, daily_asset_prices
+from mercato.operators.portfolio import basket_metrics, daily_asset_prices, price_assets
 from mercato.operators.relational import reconcile
 from mercato.operators.series import family_daily, znorm
-from mercato.plans.aggregation import CATALOG_VALUES
 from mercato.plans.registry import register
 from mercato.session import ensure_checkpoint_dir
 from mercato.sources.tables import Tables, demand, tracking
@@ -79,8 +78,9 @@ def tweedie_glm(spark, sf):
 def basket_weight_regression(spark, sf):
     """Sharpe ratio of each basket regressed on its 0/1 asset weights; the
     coefficients are named from the assembler and ranked by magnitude."""
-    assets = sorted(CATALOG_VALUES)
-    b = basket_metrics(daily_asset_prices(tracking(Tables(spark, sf)), 365), assets)
+    prices = daily_asset_prices(tracking(Tables(spark, sf)), 365)
+    assets = price_assets(prices)
+    b = basket_metrics(prices, assets)
     cols = [F.floor(F.col("pid") / 2 ** i) % 2 for i in range(len(assets))]
     x = b.select("sharpe", *[c.cast("double").alias(f"w_{a}") for c, a in zip(cols, assets)])
     asm = VectorAssembler(inputCols=[f"w_{a}" for a in assets], outputCol="features")
@@ -142,7 +142,7 @@ def kmeans_sweep(spark, sf):
     x = _embedding_vectors(spark, sf).cache()
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     rows = []
-    for k in range(2, 9):
+    for k in range(2, 21):
         m = KMeans(k=k, seed=42, featuresCol="features").fit(x)
         rows.append((k, float(m.summary.trainingCost), float(ev.evaluate(m.transform(x)))))
     x.unpersist()

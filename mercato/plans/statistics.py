@@ -14,9 +14,8 @@ from mercato.operators import embeddings as EMB
 from mercato.operators.hypothesis import (
     chi2_sf, ks_statistic, kruskal_wallis, normal_cdf_sql, normal_ppf, studentized_range_sf, tukey_pairs,
 )
-from mercato.operators.portfolio import asset_covariance, basket_metrics, daily_asset_prices
+from mercato.operators.portfolio import MOST_COVARIANCE_ASSETS, asset_covariance, basket_metrics, daily_asset_prices, price_assets
 from mercato.operators.ranking import rank_table
-from mercato.plans.aggregation import CATALOG_VALUES
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, tracking
 
@@ -276,7 +275,7 @@ SELECT pid, round(rev, 4) AS revenue, round(vol, 4) AS volatility, round(var_, 4
        round(sharpe, 6) AS sharpe, CAST(n AS BIGINT) AS n_assets, round(rel, 6) AS relative_sharpe FROM b""")
 def basket_simulation(spark, sf):
     prices = daily_asset_prices(tracking(Tables(spark, sf)), 365)
-    return basket_metrics(prices, CATALOG_VALUES)
+    return basket_metrics(prices, price_assets(prices))
 
 
 @register("basket_top5_vs_naive", "K27+G1", sql=_BASKET_SQL + """
@@ -284,7 +283,7 @@ SELECT pid, round(sharpe, 6) AS sharpe, round(rel, 6) AS relative_sharpe FROM b
 ORDER BY rel DESC, pid LIMIT 5""")
 def basket_top5_vs_naive(spark, sf):
     prices = daily_asset_prices(tracking(Tables(spark, sf)), 365)
-    b = basket_metrics(prices, CATALOG_VALUES)
+    b = basket_metrics(prices, price_assets(prices))
     return (b.filter(F.col("relative_sharpe") > 1).orderBy(F.desc("relative_sharpe"), "pid").limit(5)
             .select("pid", "sharpe", "relative_sharpe"))
 
@@ -341,7 +340,7 @@ def partial_correlation_edges(spark, sf):
     """Partial correlations from the ridge-regularised inverse covariance of
     the catalogue price series; the k x k inversion runs in one small group."""
     prices = daily_asset_prices(tracking(Tables(spark, sf)), 365)
-    cov = asset_covariance(prices, CATALOG_VALUES).withColumn("_g", F.lit(0))
+    cov = asset_covariance(prices, price_assets(prices, MOST_COVARIANCE_ASSETS)).withColumn("_g", F.lit(0))
 
     def invert(pdf: pd.DataFrame) -> pd.DataFrame:
         names = sorted(set(pdf["asset_a"]))
