@@ -6,7 +6,7 @@ import pytest
 from mercato.plans.registry import load_all
 from mercato.sources.tables import TABLE_NAMES, Tables, tracking
 
-from conftest import SF_SMALL
+from testpaths import SF_SMALL
 
 
 def test_entry_contract(spark):
