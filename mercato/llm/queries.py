@@ -113,3 +113,12 @@ from mercato.llm import passages  # noqa: E402
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that documents share."""
     return passages.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+from mercato.llm import whitening  # noqa: E402
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
