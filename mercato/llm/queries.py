@@ -122,3 +122,22 @@ from mercato.llm import whitening  # noqa: E402
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of every embedding."""
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+from mercato.llm import conversations  # noqa: E402
+
+
+@query("op13_conversations")
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after planted damage."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.digests(conversations.damaged(rows), rows.select("conv_id"))
+
+
+from mercato.llm import url_filter  # noqa: E402
+
+
+@query("op11_url_filter", url_filter.oracle())
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
