@@ -125,7 +125,7 @@ def test_repaired_rows(spark):
     assert got == [(1, 0, "I", None, "user", ""), (1, 1, "K", 0, "assistant", "Hi."), (1, 2, "K", 1, "user", "So?"),
                    (1, 3, "K", 2, "assistant", "Yes.")]
     got = sorted(tuple(x) for x in C.repaired(frame(spark, rows), segment=1).collect() if x["conv_id"] == 2)
-    assert got == [(2, 0, "K", None, "system", "Be kind."), (2, 1, "R", 0, "user", "x."), (2, 2, "I", None, "assistant", "")]
+    assert got == [(2, 0, "K", None, "system", "Be kind."), (2, 1, "I", None, "user", ""), (2, 2, "R", 0, "assistant", "x.")]
 
 
 def test_prices_satisfy_complementary_slackness():
