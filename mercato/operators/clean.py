@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.ranges import in_ranges, join_groups, quantile_scalars, quantiles, with_quantiles
+
 
 def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``isnull().sum()`` in one pass (NaN counts as missing for doubles)."""
@@ -24,56 +26,59 @@ def null_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def median_impute(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Fill nulls with the exact median of the row's group."""
-    med = df.groupBy(*by).agg(F.median(col).alias("_med"))
-    return df.join(med, list(by), "left").withColumn(col, F.coalesce(F.col(col), F.col("_med"))).drop("_med")
-
-
-def quantile_bounds(df: DataFrame, col: str, lo: float, hi: float, by: Sequence[str] = ()) -> DataFrame:
-    q = df.groupBy(*by).agg(F.percentile(col, F.array(F.lit(lo), F.lit(hi))).alias("_q"))
-    return q.select(*by, F.get("_q", 0).alias("_lo"), F.get("_q", 1).alias("_hi"))
+    x = with_quantiles(df, col, [0.5], by)
+    return x.withColumn(col, F.coalesce(F.col(col), F.get("_q", F.lit(0)))).drop("_q")
 
 
 def quantile_trim(df: DataFrame, col: str, lo: float, hi: float, by: Sequence[str] = (),
                   inclusive: bool = True) -> DataFrame:
     """Keep rows inside the [q_lo, q_hi] range (strict when ``inclusive`` is False)."""
     if by:
-        x = df.join(quantile_bounds(df, col, lo, hi, by), list(by))
+        x = with_quantiles(df, col, [lo, hi], by).withColumn("_lo", F.get("_q", F.lit(0))).withColumn("_hi", F.get("_q", F.lit(1)))
     else:
-        b = quantile_bounds(df, col, lo, hi)
-        x = df.withColumn("_lo", b.select("_lo").scalar()).withColumn("_hi", b.select("_hi").scalar())
+        low, high = quantile_scalars(df, col, [lo, hi])
+        x = df.withColumn("_lo", low).withColumn("_hi", high)
     v = F.col(col)
     cond = (v >= F.col("_lo")) & (v <= F.col("_hi")) if inclusive else (v > F.col("_lo")) & (v < F.col("_hi"))
-    return x.filter(cond).drop("_lo", "_hi")
+    return x.filter(cond).select(*df.columns)
 
 
 def two_stage_trim(df: DataFrame, by: Sequence[str], cols: Sequence[str], q_hi: float,
                    second_col: str, q_lo: float) -> DataFrame:
     """Stage 1: every column <= its group q_hi.  Stage 2: ``second_col`` > the
     group q_lo recomputed on the survivors."""
-    q1 = df.groupBy(*by).agg(*[F.percentile(c, q_hi).alias(f"_h_{c}") for c in cols])
-    s1 = df.join(q1, list(by))
+    # all columns in one pass: a value's column is part of its group
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(list(by), list(cols), "_c", "_x")
+    q1 = quantiles(long, "_x", [q_hi], [*by, "_c"]).groupBy(*by).agg(*[
+        F.max(F.when(F.col("_c") == c, F.get("_q", F.lit(0)))).alias(f"_h_{c}") for c in cols])
+    s1 = join_groups(df, q1, by)
     for c in cols:
         s1 = s1.filter(F.col(c) <= F.col(f"_h_{c}"))
-    s1 = s1.drop(*[f"_h_{c}" for c in cols])
-    q2 = s1.groupBy(*by).agg(F.percentile(second_col, q_lo).alias("_l"))
-    return s1.join(q2, list(by)).filter(F.col(second_col) > F.col("_l")).drop("_l")
+    s1 = s1.select(*df.columns)
+    s2 = with_quantiles(s1, second_col, [q_lo], by)
+    return s2.filter(F.col(second_col) > F.get("_q", F.lit(0))).select(*df.columns)
 
 
 def zscore_counts(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Rows kept per group by |z| < 3, modified z (MAD) <= 3.5 and the IQR fences."""
-    s = df.groupBy(*by).agg(F.avg(col).alias("mu"), F.stddev_samp(col).alias("sd"),
-                            F.percentile(col, F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))).alias("_q")).select(
-        *by, "mu", "sd", F.get("_q", 0).alias("med"), F.get("_q", 1).alias("q1"), F.get("_q", 2).alias("q3"))
-    d = df.join(s, list(by)).withColumn("dev", F.abs(F.col(col) - F.col("med")))
-    mad = d.groupBy(*by).agg(F.median("dev").alias("mad"))
-    x = d.join(mad, list(by))
+    s = df.groupBy(*by).agg(F.avg(col).alias("mu"), F.stddev_samp(col).alias("sd"))
+    q = join_groups(s, quantiles(df, col, [0.5, 0.25, 0.75], by), by).select(
+        *by, "mu", "sd", F.get("_q", F.lit(0)).alias("med"), F.get("_q", F.lit(1)).alias("q1"), F.get("_q", F.lit(2)).alias("q3"))
+    # every rule looks at a row's group and value alone: from here on counted values stand for the rows
+    counted = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
+    d = join_groups(counted, q, by).withColumn("dev", F.abs(F.col(col) - F.col("med")))
+    x = join_groups(d, quantiles(d, "dev", [0.5], by, weight="_n"), by).withColumn("mad", F.get("_q", F.lit(0)))
     v = F.col(col)
     iqr = F.col("q3") - F.col("q1")
+
+    def kept(rule):
+        return F.sum(F.when(rule, F.col("_n")).otherwise(0))
+
     return x.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.abs((v - F.col("mu")) / F.col("sd")) < 3).alias("n_z_kept"),
-        F.count_if(F.abs(0.6745 * (v - F.col("med")) / F.col("mad")) <= 3.5).alias("n_mad_kept"),
-        F.count_if((v >= F.col("q1") - 1.5 * iqr) & (v <= F.col("q3") + 1.5 * iqr)).alias("n_iqr_kept"))
+        F.sum("_n").alias("n"),
+        kept(F.abs((v - F.col("mu")) / F.col("sd")) < 3).alias("n_z_kept"),
+        kept(F.abs(0.6745 * (v - F.col("med")) / F.col("mad")) <= 3.5).alias("n_mad_kept"),
+        kept((v >= F.col("q1") - 1.5 * iqr) & (v <= F.col("q3") + 1.5 * iqr)).alias("n_iqr_kept"))
 
 
 def safe_downcast_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -110,22 +115,20 @@ def density_keep_bins(df: DataFrame, col: str, n_bins: int, nu: float) -> DataFr
     return c.select("bin", "cnt", F.when(before < (1 - nu) * F.col("n"), 1).otherwise(0).alias("kept"))
 
 
-def hash_rank_within(df: DataFrame, group: str, key: str, seed: int = 42, bits: int = 6) -> DataFrame:
-    """Exact 1-based rank of each row inside its group by a seeded key hash,
-    plus the group size.  The top ``bits`` bits of the hash cut each group into
-    2^bits ordered ranges; rows are numbered per (group, range) in parallel and
-    shifted by a per-group offset table of at most 2^bits rows per group, so a
-    group holding a third of the data is never ranked in one task."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    x = df.withColumn("_h", h).withColumn("_r", F.shiftright(F.col("_h"), 64 - bits))
+def hash_rank_within(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
+    """Exact 1-based rank of each row inside its group by a seeded key hash, plus the group size.
+
+    Rows are dealt into ranges of (group, hash, key) and numbered per range; a table of one row per group and range
+    shifts them, so a group holding a third of the data is never ranked in one task."""
+    x = in_ranges(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), [group, "_h", key])
     sizes = x.groupBy(group, "_r").agg(F.count(F.lit(1)).alias("_n"))
     ow = Window.partitionBy(group).orderBy("_r")
-    off = sizes.select(group, "_r", F.coalesce(F.sum("_n").over(ow.rowsBetween(Window.unboundedPreceding, -1)),
-                                               F.lit(0)).alias("_off"),
-                       F.sum("_n").over(Window.partitionBy(group)).alias("group_size"))
+    off = sizes.select(F.col(group).alias("_of"), F.col("_r").alias("_at"), F.coalesce(F.sum("_n").over(
+        ow.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy(group)).alias("group_size"))
     local = F.row_number().over(Window.partitionBy(group, "_r").orderBy("_h", key))
-    return (x.join(off, [group, "_r"]).withColumn("hash_rank", F.col("_off") + local)
-            .drop("_h", "_r", "_off"))
+    return (x.withColumn("_local", local).join(off, F.col(group).eqNullSafe(F.col("_of")) & (F.col("_r") == F.col("_at")))
+            .withColumn("hash_rank", F.col("_off") + F.col("_local")).select(*df.columns, "group_size", "hash_rank"))
 
 
 def undersample(df: DataFrame, cls: str, key: str, seed: int = 42) -> DataFrame:

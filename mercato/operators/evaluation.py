@@ -8,14 +8,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.operators.ranges import quantile_scalars
 from mercato.operators.ranking import rank_table
 
 
 def regression_summary(p: DataFrame, y: str, yhat: str) -> DataFrame:
     e = F.col(y) - F.col(yhat)
+    median = quantile_scalars(p.select(F.abs(e).alias("_e")), "_e", [0.5])[0]
     return p.agg(
         F.round(F.avg(e * e), 2).alias("mse"), F.round(F.sqrt(F.avg(e * e)), 4).alias("rmse"),
-        F.round(F.avg(F.abs(e)), 4).alias("mae"), F.round(F.median(F.abs(e)), 4).alias("medae"),
+        F.round(F.avg(F.abs(e)), 4).alias("mae"), F.round(F.any_value(median), 4).alias("medae"),
         F.round(1 - F.sum(e * e) / (F.var_pop(y) * F.count(F.lit(1))), 6).alias("r2"),
         F.round(F.avg(F.abs(e) / F.abs(F.col(y))), 6).alias("mape"),
         F.round(1 - F.var_pop(e) / F.var_pop(y), 6).alias("explained_variance"),

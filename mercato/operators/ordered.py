@@ -1,38 +1,28 @@
 """Running aggregates in a global order without a single-task window.
 
-The order column is cut into ``buckets`` ranges by approximate quantile
-boundaries (computed once); the running aggregate runs per bucket in parallel
-and a prefix table over the buckets (at most ``buckets`` rows) carries what all
-earlier buckets contributed.  Results are exact.
+Rows are dealt into ranges of the order column; the running aggregate runs per range in parallel
+and a prefix table over the ranges (one row each) carries what all earlier ranges contributed.
+Results are exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.ranking import bucket_count
-
-
-def order_buckets(df: DataFrame, order: str, buckets: int) -> Column:
-    """Bucket index of each row: how many boundaries its order value reaches."""
-    probs = [i / buckets for i in range(1, buckets)]
-    return df.select(F.percentile_approx(order, probs, 10000)).scalar()
+from mercato.operators.ranges import in_ranges
 
 
 def running_max_before(df: DataFrame, order: str, value: str, buckets: int | None = None) -> DataFrame:
-    """``max(value)`` over all rows strictly earlier in ``order`` (null for the first).  ``buckets`` is the
-    session's number of shuffle partitions unless given (64 at least)."""
-    buckets = buckets or bucket_count(df)
-    bounds = order_buckets(df, order, buckets)
-    x = df.withColumn("_bounds", bounds)
-    x = x.withColumn("_b", F.size(F.filter(F.col("_bounds"), lambda b: b <= F.col(order)))).drop("_bounds")
-    per = x.groupBy("_b").agg(F.max(value).alias("_bm"))
-    prev = per.select("_b", F.max("_bm").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    """``max(value)`` over all rows strictly earlier in ``order`` (null for the first).  ``buckets``, the number of
+    ranges, is the session's number of shuffle partitions unless given."""
+    x = in_ranges(df, [order], buckets)
+    per = x.groupBy("_r").agg(F.max(value).alias("_bm"))
+    prev = per.select("_r", F.max("_bm").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1))
                       .alias("_prev"))
-    w = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    y = x.join(F.broadcast(prev), "_b")  # one row per bucket: bounded by ``buckets``
-    return y.withColumn("seen_max", F.greatest(F.max(value).over(w), F.col("_prev"))).drop("_b", "_prev")
+    w = Window.partitionBy("_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    y = x.join(F.broadcast(prev), "_r")  # one row per range: bounded by the number of partitions
+    return y.withColumn("seen_max", F.greatest(F.max(value).over(w), F.col("_prev"))).drop("_r", "_prev")
 
 
 def late_rows(events: DataFrame, arrival: str = "event_id", ts: str = "ts", delay_minutes: int = 10,

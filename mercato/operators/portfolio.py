@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.operators.ranges import quantiles
+
 
 #: Assets of a basket study (it has 2**k - 1 baskets), and of a covariance matrix.
 MOST_ASSETS = 16
@@ -20,7 +22,8 @@ MOST_COVARIANCE_ASSETS = 100
 
 def daily_asset_prices(tr: DataFrame, days: int, asset: str = "catalog_id") -> DataFrame:
     recent = tr.filter(F.col("date") >= F.date_sub(tr.select(F.max("date")).scalar(), days))
-    return recent.groupBy("date", F.col(asset).alias("asset")).agg(F.median("price_numeric").alias("price"))
+    return quantiles(recent, "price_numeric", [0.5], ["date", asset]).select(
+        "date", F.col(asset).alias("asset"), F.get("_q", F.lit(0)).alias("price"))
 
 
 def price_assets(prices: DataFrame, most: int = MOST_ASSETS) -> list[str]:
@@ -47,7 +50,8 @@ def asset_covariance(prices: DataFrame, assets: Sequence[str]) -> DataFrame:
 
 
 def asset_stats(prices: DataFrame) -> DataFrame:
-    return prices.groupBy("asset").agg(F.median("price").alias("med"), F.percentile("price", 0.05).alias("q05"))
+    return quantiles(prices, "price", [0.5, 0.05], ["asset"]).select(
+        "asset", F.get("_q", F.lit(0)).alias("med"), F.get("_q", F.lit(1)).alias("q05"))
 
 
 def basket_metrics(prices: DataFrame, assets: Sequence[str]) -> DataFrame:

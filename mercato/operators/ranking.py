@@ -1,10 +1,8 @@
 """Exact global ranks without a single-task window.
 
-Rows are first reduced to one row per distinct value (an aggregate).  The
-distinct values are cut into ``buckets`` ranges by approximate quantile
-boundaries (a scalar computed once), the cumulative count runs per bucket in
-parallel, and a per-bucket offset table (``buckets`` rows) is added back.
-The result is exact: approximation only affects how evenly work is split.
+Rows are first reduced to one row per distinct value (an aggregate).  The distinct values are dealt into
+ranges by Spark's range partitioning, the cumulative count runs per range in parallel, and a
+per-range offset table is added back (see ``ranges``).
 """
 
 from __future__ import annotations
@@ -14,10 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def bucket_count(df: DataFrame) -> int:
-    """Ranges of an order: as many as the session's shuffles have partitions, so they follow its data size."""
-    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+from mercato.operators.ranges import group_of, in_ranges, offsets
 
 
 def rank_table(df: DataFrame, col: str, extra_counts: Sequence[tuple[str, object]] = (),
@@ -26,29 +21,19 @@ def rank_table(df: DataFrame, col: str, extra_counts: Sequence[tuple[str, object
     rows strictly below it (``below``) and its tie-averaged rank ``avg_rank``.
     ``extra_counts`` adds conditional counts, e.g. ``("pos", F.col("y") == 1)``;
     ``weight`` names a column of pre-aggregated row counts; ``buckets`` is the
-    session's number of shuffle partitions unless given (64 at least)."""
-    buckets = buckets or bucket_count(df)
+    session's number of shuffle partitions unless given."""
     if weight:
         aggs = [F.sum(weight).alias("c")] + [F.sum(F.when(cond, F.col(weight)).otherwise(0)).alias(name)
                                              for name, cond in extra_counts]
     else:
         aggs = [F.count(F.lit(1)).alias("c")] + [F.count_if(cond).alias(name) for name, cond in extra_counts]
     counts = df.groupBy(col).agg(*aggs)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = counts.select(F.percentile_approx(col, probs, 10000)).scalar()
-    # Bucket = number of boundaries <= value.  The scalar is attached as a
-    # column first: subqueries may not sit inside lambdas.  (A sum of one
-    # comparison per boundary measured ~3x slower: the generated code grows too large.)
-    b = counts.withColumn("_bounds", bounds).withColumn(
-        "_b", F.size(F.filter(F.col("_bounds"), lambda x: x <= F.col(col)))).drop("_bounds")
-    tot = b.groupBy("_b").agg(*[F.sum(n).alias(f"t_{n}") for n in ["c", *[e[0] for e in extra_counts]]])
-    ow = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
-    off = tot.select("_b", *[F.coalesce(F.sum(f"t_{n}").over(ow), F.lit(0)).alias(f"o_{n}")
-                             for n in ["c", *[e[0] for e in extra_counts]]])
-    lw = Window.partitionBy("_b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    x = b.join(F.broadcast(off), "_b")  # one row per bucket: bounded by ``buckets``
-    out = x.select(col, "c", *[e[0] for e in extra_counts],
-                   *[(F.col(f"o_{n}") + F.coalesce(F.sum(n).over(lw), F.lit(0))).alias(f"below_{n}")
-                     for n in ["c", *[e[0] for e in extra_counts]]])
+    names = ["c", *[e[0] for e in extra_counts]]
+    ranged = in_ranges(counts, [col], buckets)
+    off = offsets(ranged.withColumn("_g", group_of(())), names).select("_r", *[f"{n}_off" for n in names])
+    before = Window.partitionBy("_r").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    x = ranged.join(F.broadcast(off), "_r")  # one row per range: bounded by the number of partitions
+    out = x.select(col, *names, *[(F.col(f"{n}_off") + F.coalesce(F.sum(n).over(before), F.lit(0))).alias(f"below_{n}")
+                                  for n in names])
     return out.withColumnRenamed("below_c", "below").withColumn(
         "avg_rank", F.col("below") + (F.col("c") + 1) / 2.0)

@@ -1,9 +1,4 @@
-"""Descriptive statistics as single-pass aggregates.
-
-Exact quantiles use Spark's ``percentile`` aggregate: its partial buffer is a
-value -> count map, so map-side combine shrinks a hot group to its distinct
-values before the shuffle (memory grows with distinct values, not rows).
-"""
+"""Descriptive statistics: single-pass aggregates, and exact quantiles looked up in ranges (``ranges``)."""
 
 from __future__ import annotations
 
@@ -12,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.operators.ranges import join_groups, quantiles
 from mercato.operators.relational import money_avg
 
 
@@ -25,13 +21,11 @@ def skewness_corrected(c: str) -> Column:
 def describe_numeric(df: DataFrame, col: str, by: Sequence[str] = (), money: bool = True) -> DataFrame:
     """count, mean, std, min, q25, q50, q75, max per group in one aggregate."""
     mean = money_avg(col) if money else F.round(F.avg(col), 4)
-    # One exact percentile aggregate for the three quartiles: one value->count buffer, not three.
     g = df.groupBy(*by).agg(
         F.count(col).alias("count"), mean.alias("mean"), F.round(F.stddev_samp(col), 4).alias("std"),
-        F.min(col).alias("min"), F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-        F.max(col).alias("max"))
-    return g.select(*by, "count", "mean", "std", "min", F.get("_q", 0).alias("q25"), F.get("_q", 1).alias("q50"),
-                    F.get("_q", 2).alias("q75"), "max")
+        F.min(col).alias("min"), F.max(col).alias("max"))
+    return join_groups(g, quantiles(df, col, [0.25, 0.5, 0.75], by), by).select(
+        *by, "count", "mean", "std", "min", *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(("q25", "q50", "q75"))], "max")
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -65,15 +59,16 @@ def fixed_bins(df: DataFrame, col: str, n: int, by: Sequence[str] = ()) -> DataF
 
 def box_whiskers(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, IQR, whiskers (extreme points inside 1.5 IQR fences) and outlier count."""
-    q = df.groupBy(*by).agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")).select(
-        *by, F.get("_q", 0).alias("q1"), F.get("_q", 1).alias("med"), F.get("_q", 2).alias("q3"))
-    x = df.join(q, list(by))
+    q = quantiles(df, col, [0.25, 0.5, 0.75], by).select(
+        *by, *[F.get("_q", F.lit(i)).alias(n) for i, n in enumerate(("q1", "med", "q3"))])
+    # whiskers and outliers depend on a row's group and value alone, so counted values stand for the rows
+    x = join_groups(df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n")), q, by)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     v = F.col(col)
     return x.groupBy(*by, "q1", "med", "q3").agg(
         F.min(F.when(v >= lo_f, v)).alias("lower_whisker"),
         F.max(F.when(v <= hi_f, v)).alias("upper_whisker"),
-        F.count_if((v < lo_f) | (v > hi_f)).alias("n_outliers")).select(
+        F.sum(F.when((v < lo_f) | (v > hi_f), F.col("_n")).otherwise(0)).alias("n_outliers")).select(
         *by, F.round("q1", 4).alias("q1"), F.round("med", 4).alias("median"), F.round("q3", 4).alias("q3"),
         F.round(F.col("q3") - F.col("q1"), 4).alias("iqr"), "lower_whisker", "upper_whisker", "n_outliers")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from mercato.operators.ranges import join_groups, quantiles
 from mercato.operators.relational import money_avg
 from mercato.operators.stats import (
     box_whiskers, describe_categorical, describe_numeric, fixed_bins, skewness_corrected,
@@ -40,9 +41,10 @@ def daily_catalog_median(spark, sf):
     recent = _recent(tracking(Tables(spark, sf)), 365)
     catalogs = (recent.groupBy("catalog_id").agg(F.countDistinct("date").alias("n"))
                 .filter(F.col("n") > 146).select("catalog_id"))
-    return (recent.join(catalogs, "catalog_id", "left_semi").groupBy("date", "catalog_id")
-            .agg(F.median("price_numeric").alias("price"), F.count("product_id").alias("n"))
-            .filter(F.col("n") > 2).select("date", "catalog_id", "price"))
+    kept = recent.join(catalogs, "catalog_id", "left_semi")
+    by = ["date", "catalog_id"]
+    n = kept.groupBy(*by).agg(F.count("product_id").alias("n")).filter(F.col("n") > 2)
+    return join_groups(n, quantiles(kept, "price_numeric", [0.5], by), by).select(*by, F.get("_q", F.lit(0)).alias("price"))
 
 
 @register("daily_demand_sums", "E4", sql="""
@@ -81,11 +83,32 @@ def brand_value_counts(spark, sf):
 
 
 @register("pivot_count_catalog_size", "E8", sql="""
-SELECT * FROM (PIVOT (SELECT catalog_id, size_title FROM tracking) ON size_title USING COUNT(*) GROUP BY catalog_id)""")
+WITH sizes AS (SELECT DISTINCT size_title FROM tracking WHERE size_title IS NOT NULL),
+n AS (SELECT catalog_id, size_title, COUNT(*) AS n FROM tracking GROUP BY ALL),
+cells AS (SELECT c.catalog_id, s.size_title, COALESCE(n.n, 0) AS n
+          FROM (SELECT DISTINCT catalog_id FROM tracking) c CROSS JOIN sizes s
+          LEFT JOIN n ON n.catalog_id IS NOT DISTINCT FROM c.catalog_id AND n.size_title = s.size_title)
+SELECT catalog_id, COUNT(*) AS n_columns, array_to_string(list(size_title || '=' || n ORDER BY size_title), ',') AS cells
+FROM cells GROUP BY catalog_id""")
 def pivot_count_catalog_size(spark, sf):
-    """One column per size that occurs (Spark reads the domain from the data first)."""
-    tr = tracking(Tables(spark, sf))
-    return tr.groupBy("catalog_id").pivot("size_title").agg(F.count(F.lit(1))).na.fill(0)
+    """The pivot with one column per size that occurs (Spark reads the domain from the data first), its cells in
+    the order of the columns as text, so that a statement with fixed columns can check them all."""
+    wide = pivot_count(tracking(Tables(spark, sf)), "catalog_id", "size_title")
+    return _cells(wide, "catalog_id", lambda c: F.col(c).cast("string"))
+
+
+def pivot_count(df, rows, columns):
+    """Rows x values of ``columns`` with counts, 0 where there are none."""
+    named = df.filter(F.col(columns).isNotNull()).groupBy(rows).pivot(columns).agg(F.count(F.lit(1)))
+    return join_groups(df.select(rows).distinct(), named, [rows]).na.fill(0)
+
+
+def _cells(wide, key, shown):
+    names = sorted(c for c in wide.columns if c != key)
+    if not names:
+        return wide.select(key, F.lit(0).cast("bigint").alias("n_columns"), F.lit("").alias("cells"))
+    return wide.select(key, F.lit(len(names)).cast("bigint").alias("n_columns"), F.concat_ws(
+        ",", *[F.concat(F.lit(c + "="), F.coalesce(shown(f"`{c}`"), F.lit("-"))) for c in names]).alias("cells"))
 
 
 _month_cols = ",\n".join(
@@ -104,12 +127,24 @@ def pivot_sum_family_month(spark, sf):
 
 
 @register("pivot_median_date_catalog", "E10", sql="""
-SELECT * FROM (PIVOT (SELECT date, catalog_id, price_numeric FROM tracking) ON catalog_id
-               USING quantile_cont(price_numeric, 0.5) GROUP BY date)""")
+WITH m AS (SELECT date, catalog_id, quantile_cont(price_numeric, 0.5) AS m FROM tracking GROUP BY date, catalog_id),
+cells AS (SELECT d.date, c.catalog_id, m.m FROM (SELECT DISTINCT date FROM tracking) d
+          CROSS JOIN (SELECT DISTINCT catalog_id FROM tracking WHERE catalog_id IS NOT NULL) c
+          LEFT JOIN m ON m.date = d.date AND m.catalog_id = c.catalog_id)
+SELECT date, COUNT(*) AS n_columns,
+       array_to_string(list(catalog_id || '=' || COALESCE(CAST(CAST(round(1000 * m) AS BIGINT) AS VARCHAR), '-') ORDER BY catalog_id), ',') AS cells
+FROM cells GROUP BY date""")
 def pivot_median_date_catalog(spark, sf):
-    """Median price of every date and catalogue; one column per catalogue that occurs."""
-    tr = tracking(Tables(spark, sf))
-    return tr.groupBy("date").pivot("catalog_id").agg(F.median("price_numeric"))
+    """Median price of every date and catalogue, one column per catalogue that occurs; cells as text, in thousandths."""
+    wide = pivot_median(tracking(Tables(spark, sf)), "date", "catalog_id", "price_numeric")
+    return _cells(wide, "date", lambda c: F.round(1000 * F.col(c)).cast("bigint").cast("string"))
+
+
+def pivot_median(df, rows, columns, value):
+    """Rows x values of ``columns`` with the exact median of ``value``, null where there is none."""
+    q = quantiles(df.filter(F.col(columns).isNotNull()), value, [0.5], [rows, columns])
+    wide = q.withColumn("_m", F.get("_q", F.lit(0))).groupBy(rows).pivot(columns).agg(F.first("_m"))
+    return join_groups(df.select(rows).distinct(), wide, [rows])
 
 
 @register("grand_total_level", "E11", sql="""
@@ -160,11 +195,7 @@ FROM long GROUP BY variable""")
 def frame_describe_numeric(spark, sf):
     tr = tracking(Tables(spark, sf))
     long = tr.unpivot([], ["price_numeric", "view_count", "discount"], "variable", "value")
-    g = long.groupBy("variable")
-    return g.agg(F.count("value").alias("count"), F.round(F.avg("value"), 4).alias("mean"),
-                 F.round(F.stddev_samp("value"), 4).alias("std"), F.min("value").alias("min"),
-                 F.percentile("value", 0.25).alias("q25"), F.percentile("value", 0.5).alias("q50"),
-                 F.percentile("value", 0.75).alias("q75"), F.max("value").alias("max"))
+    return describe_numeric(long, "value", ["variable"], money=False)
 
 
 @register("frame_describe_object", "E15", sql="""
@@ -241,8 +272,10 @@ SELECT hour(ts) AS hour, quantile_cont(value, 0.5) AS median_value, COUNT(*) AS
 FROM events GROUP BY hour(ts)""")
 def seasonality_hour_median(spark, sf):
     e = Tables(spark, sf).events
-    return e.groupBy(F.hour("ts").alias("hour")).agg(F.median("value").alias("median_value"),
-                                                     F.count(F.lit(1)).alias("n"))
+    e = e.select(F.hour("ts").alias("hour"), "value")
+    g = e.groupBy("hour").agg(F.count(F.lit(1)).alias("n"))
+    return join_groups(g, quantiles(e, "value", [0.5], ["hour"]), ["hour"]).select(
+        "hour", F.get("_q", F.lit(0)).alias("median_value"), "n")
 
 
 @register("seasonality_weekday_hour_mean", "E20", sql="""
@@ -306,11 +339,12 @@ SELECT brand_title, COUNT(DISTINCT product_id) AS products,
 FROM tracking GROUP BY brand_title""")
 def brand_dashboard(spark, sf):
     tr = tracking(Tables(spark, sf))
-    return (tr.groupBy("brand_title").agg(
-        F.countDistinct("product_id").alias("products"), F.median("price_numeric").alias("median_price"),
-        F.round(F.stddev_samp("price_numeric"), 4).alias("std_price"),
+    g = tr.groupBy("brand_title").agg(
+        F.countDistinct("product_id").alias("products"), F.round(F.stddev_samp("price_numeric"), 4).alias("std_price"),
         F.round(F.sum("price_numeric"), 2).alias("total_volume"))
-        .withColumn("median_label", F.format_string("%.2f €", F.round("median_price", 2))))
+    x = join_groups(g, quantiles(tr, "price_numeric", [0.5], ["brand_title"]), ["brand_title"])
+    return x.withColumn("median_price", F.get("_q", F.lit(0))).drop("_q").withColumn(
+        "median_label", F.format_string("%.2f €", F.round("median_price", 2)))
 
 
 @register("cluster_shares", "E26", sql="""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mercato.operators.relational import latest_with_ties, money_avg, reconcile
+from mercato.operators.ranges import join_groups, quantiles
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, demand, tracking
 
@@ -141,10 +142,10 @@ FROM tracking t JOIN q ON t.catalog_id = q.catalog_id
 GROUP BY t.catalog_id, q.q05, q.q90""")
 def category_threshold_join(spark, sf):
     tr = tracking(Tables(spark, sf))
-    q = tr.groupBy("catalog_id").agg(F.percentile("price_numeric", 0.05).alias("q05"),
-                                     F.percentile("price_numeric", 0.9).alias("q90"))
+    q = quantiles(tr, "price_numeric", [0.05, 0.9], ["catalog_id"]).select(
+        "catalog_id", F.get("_q", F.lit(0)).alias("q05"), F.get("_q", F.lit(1)).alias("q90"))
     inr = F.col("price_numeric").between(F.col("q05"), F.col("q90"))
-    return (tr.join(q, "catalog_id").groupBy("catalog_id", "q05", "q90")
+    return (join_groups(tr, q, ["catalog_id"], "inner").groupBy("catalog_id", "q05", "q90")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(inr).alias("n_in_range"))
             .select("catalog_id", F.round("q05", 4).alias("q05"), F.round("q90", 4).alias("q90"),
                     "n_rows", "n_in_range"))

@@ -18,6 +18,7 @@ from mercato.operators.evaluation import class_report
 from mercato.operators.portfolio import basket_metrics, daily_asset_prices, price_assets
 from mercato.operators.relational import reconcile
 from mercato.operators.series import family_daily, znorm
+from mercato.operators.ranges import quantile_scalars
 from mercato.plans.registry import register
 from mercato.session import ensure_checkpoint_dir
 from mercato.sources.tables import Tables, demand, tracking
@@ -93,7 +94,7 @@ def basket_weight_regression(spark, sf):
 
 def _premium(spark, sf):
     x, _ = _tracking_features(spark, sf)
-    q80 = x.select(F.percentile("price_numeric", 0.8)).scalar()
+    q80 = quantile_scalars(x, "price_numeric", [0.8])[0]
     return x.withColumn("premium", (F.col("price_numeric") > q80).cast("double"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from mercato.operators.ranges import join_groups, quantiles
 from mercato.operators.relational import latest_per_key
 from mercato.plans.registry import register
 from mercato.sinks.writers import date_dimension, quality_report
@@ -83,7 +84,9 @@ SELECT brand_title, CAST(date_trunc('month', date) AS DATE) AS month, COUNT(DIST
        quantile_cont(price_numeric, 0.5) AS median_price
 FROM tracking GROUP BY brand_title, month""")
 def serving_mart(spark, sf):
-    tr = tracking(Tables(spark, sf))
-    return tr.groupBy("brand_title", F.trunc("date", "MM").alias("month")).agg(
-        F.countDistinct("product_id").alias("products"), F.count(F.lit(1)).alias("snapshots"),
-        F.round(F.sum("price_numeric"), 2).alias("value"), F.median("price_numeric").alias("median_price"))
+    tr = tracking(Tables(spark, sf)).withColumn("month", F.trunc("date", "MM"))
+    by = ["brand_title", "month"]
+    g = tr.groupBy(*by).agg(F.countDistinct("product_id").alias("products"), F.count(F.lit(1)).alias("snapshots"),
+                            F.round(F.sum("price_numeric"), 2).alias("value"))
+    return join_groups(g, quantiles(tr, "price_numeric", [0.5], by), by).select(
+        *g.columns, F.get("_q", F.lit(0)).alias("median_price"))

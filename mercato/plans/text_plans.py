@@ -11,6 +11,7 @@ from mercato.functions.text import (
 )
 from mercato.operators import textops as X
 from mercato.plans.aggregation import CATALOG_VALUES
+from mercato.operators.ranges import quantile_scalars
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, tracking
 
@@ -131,7 +132,7 @@ SELECT catalog_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE price_numeric > q.q80)
 FROM tracking, q GROUP BY catalog_id""")
 def premium_target(spark, sf):
     tr = tracking(Tables(spark, sf))
-    q80 = tr.select(F.percentile("price_numeric", 0.8)).scalar()  # computed once, not per row
+    q80 = quantile_scalars(tr, "price_numeric", [0.8])[0]  # computed once, not per row
     return tr.groupBy("catalog_id").agg(F.count(F.lit(1)).alias("n"),
                                         F.count_if(F.col("price_numeric") > q80).alias("n_premium"))
 
