@@ -153,11 +153,9 @@ def components(edges: DataFrame) -> DataFrame:
         F.min("component").alias("component"))
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, bands: int = 40,
-           rows: int = 5) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links of at least
-    ``percent`` % similarity), class_id (smallest id with the same set), kept."""
-    source = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+def _grouped(source: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``source`` (id, text; an id stands for one text) as id, n_shingles, component (smallest id reachable over links of at
+    least ``percent`` % similarity) and class (smallest id with the same set), both null without an id."""
     signed = saved(source.mapInArrow(_sign(k, bands, rows),
                                      "id bigint, n_shingles bigint, s1 bigint, s2 bigint, bands array<bigint>"),
                    "minhash-signatures")
@@ -185,10 +183,54 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5,
         *sets, "class", F.coalesce("component", "class").alias("component"))
     keys = [signed[c].eqNullSafe(named[c]) for c in sets]
     out = signed.join(named, keys[0] & keys[1] & keys[2], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias("doc_id"), signed["n_shingles"], component.alias("component_id"),
-                      F.when(F.col("id").isNotNull(), F.coalesce("class", "id")).alias("class_id"),
-                      F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    return out.select("id", signed["n_shingles"], F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"),
+                      F.when(F.col("id").isNotNull(), F.coalesce("class", "id")).alias("class"))
+
+
+def _texts_of_ids(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``_n_real`` (the id) and ``_n_id`` (what stands for the text): the id itself, or, where an id repeats with
+    other texts, a negative number made of the id and the text.  Beside it the pairs of both for such ids, if any."""
+    rows = docs.withColumn("_n_real", F.col(key).cast("long")).withColumn("_n_text", F.xxhash64(F.lit(7), F.col(text)))
+    several = rows.filter("_n_real is not null").groupBy(F.col("_n_real").alias("_n_several")).agg(
+        F.min("_n_text").alias("lo"), F.max("_n_text").alias("hi")).filter("lo <> hi").select("_n_several")
+    several = saved(several, "minhash-ids")
+    if not has_rows(several):
+        return rows.withColumn("_n_id", F.col("_n_real")).drop("_n_text"), None
+    made = -F.shiftrightunsigned(F.xxhash64("_n_real", "_n_text"), 2) - 2
+    rows = rows.join(several, F.col("_n_real") == F.col("_n_several"), "left").withColumn(
+        "_n_id", F.when(F.col("_n_several").isNull(), F.col("_n_real")).otherwise(made))
+    pairs = saved(rows.filter("_n_several is not null").select("_n_id", "_n_real").distinct(), "minhash-ids")
+    return rows.drop("_n_text", "_n_several"), pairs
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, bands: int = 40,
+           rows: int = 5) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable over links of at least
+    ``percent`` % similarity), class_id (smallest id with the same set), kept.  Rows of one id are one document, which
+    all its texts link."""
+    source, several = _texts_of_ids(docs.select(key, text), key, text)
+    out = _grouped(source.select(F.col("_n_id").alias("id"), F.col(text).alias("text")), k, percent, bands, rows)
+    if several is not None:
+        out = _united(saved(out, "minhash-groups"), several)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), F.col("class").alias("class_id"),
+                      F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def _united(out: DataFrame, several: DataFrame) -> DataFrame:
+    """``out`` by real ids: components that hold texts of one id become one, named by its smallest real id."""
+    named = out.join(several, F.col("id") == F.col("_n_id"), "left").select(
+        "id", F.coalesce("_n_real", "id").alias("real"), "n_shingles", "component", "class")
+    hub = several.groupBy(F.col("_n_real").alias("_n_of")).agg(F.min("_n_id").alias("c"))
+    edges = out.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("c")).union(
+        several.join(hub, F.col("_n_real") == F.col("_n_of")).select(F.col("_n_id").alias("a"), "c"))
+    whole = components(edges).select(F.col("id").alias("_n_node"), F.col("component").alias("_n_whole"))
+    named = saved(named.join(whole, F.col("id") == F.col("_n_node"), "left").withColumn(
+        "_n_whole", F.coalesce("_n_whole", "id")), "minhash-groups")
+    least = named.groupBy(F.col("_n_whole").alias("_n_w")).agg(F.min("real").alias("component"))
+    same = named.groupBy(F.col("class").alias("_n_c")).agg(F.min("real").alias("class"))
+    return named.drop("component").join(least, F.col("_n_whole") == F.col("_n_w"), "left").withColumnRenamed(
+        "class", "_n_class").join(same, F.col("_n_class") == F.col("_n_c"), "left").select(
+        F.col("real").alias("id"), "n_shingles", "component", "class")
 
 
 def _possible(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -280,8 +322,18 @@ def _blocks(b: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80, bands: int = 40,
              rows: int = 5) -> DataFrame:
-    """The rows of ``docs`` (its columns unchanged) without those whose group has a smaller id.  Rows that
-    repeat the kept id all stay; rows without an id stay."""
-    g = groups(docs, key, text, k, percent, bands, rows)
-    gone = g.filter(~F.col("kept")).select(F.col("doc_id").alias("_n_gone")).distinct()
-    return docs.join(gone, F.col(key).cast("long") == F.col("_n_gone"), "left_anti")
+    """The rows of ``docs`` (its columns unchanged) without those whose text's group has a smaller id.
+
+    An id that repeats with other texts stands for each of them apart, so of every group of like texts the text of the
+    smallest id stays.  Rows that repeat the kept id and text all stay; rows without an id stay."""
+    source, several = _texts_of_ids(docs, key, text)
+    g = _grouped(source.select(F.col("_n_id").alias("id"), F.col(text).alias("text")), k, percent, bands, rows)
+    g = g.filter("id is not null").select("id", "component").distinct()
+    if several is None:
+        gone = g.filter("id <> component")
+    else:
+        g = saved(g.join(several, F.col("id") == F.col("_n_id"), "left").select("id", "component", F.struct(
+            F.coalesce("_n_real", "id").alias("real"), "id").alias("place")), "minhash-groups")
+        first = g.groupBy(F.col("component").alias("_n_c")).agg(F.min("place").alias("first"))
+        gone = g.join(first, F.col("component") == F.col("_n_c")).filter("place <> first")
+    return source.join(gone.select(F.col("id").alias("_n_gone")), F.col("_n_id") == F.col("_n_gone"), "left_anti").select(*docs.columns)
