@@ -8,8 +8,8 @@ pieces of their bins that are not full, and those of any partition's bins that a
 pooled, dealt anew and packed again.  A round that saves no bin is dropped and ends the rounds.  A task
 holds one partition's lengths, never texts or ids.
 
-Defined cases: null or empty texts are one piece, the end id; repeated rows are packed separately; an empty
-table packs to nothing.  Only the named columns are read.
+Defined cases: null or empty texts are one piece, the end id; repeated rows are packed separately; null ids are packed
+like others and come back null; an empty table packs to nothing.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,15 +116,17 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def _pack(capacity: int, round_: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece", "start", "ids_crc32"], ascending=False, kind="stable")
-        lengths = pdf["length"].to_numpy()
+    def run(rows: pa.Table) -> pa.Table:
+        order = ["length", "doc_id", "piece", "start", "ids_crc32"]
+        rows = rows.sort_by([(c, "descending") for c in order])
+        lengths = rows.column("length").to_numpy()
         bins, offsets, fills = best_fit_decreasing(lengths, capacity)
-        part = int(pdf["part"].iloc[0])
-        pdf["sequence_id"] = (round_ << 56) + (part << 24) + bins
-        pdf["offset"], pdf["fill"] = offsets, fills[bins]
-        pdf["gap"] = len(fills) - lower_bound(lengths, capacity)
-        return pdf
+        part = rows.column("part")[0].as_py()
+        found = {"sequence_id": (round_ << 56) + (part << 24) + bins, "offset": offsets, "fill": fills[bins],
+                 "gap": np.full(len(lengths), len(fills) - lower_bound(lengths, capacity))}
+        for name, values in found.items():
+            rows = rows.append_column(name, pa.array(values, pa.int64()))
+        return rows
 
     return run
 
@@ -135,7 +136,7 @@ def _packed(rows: DataFrame, n: int, group: int, capacity: int, round_: int) ->
     parts = max(1, -(-n // group))
     deal = F.pmod(F.xxhash64(F.lit(round_), "doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("long")
     dealt = rows.withColumn("part", deal).groupBy("part")
-    return saved(dealt.applyInPandas(_pack(capacity, round_), PACKED), "packed")
+    return saved(dealt.applyInArrow(_pack(capacity, round_), PACKED), "packed")
 
 
 def _bins(packed: DataFrame) -> int:
