@@ -35,7 +35,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol "
                    "p pre search section summary table tbody td tfoot th thead tr ul hr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-BOILERPLATE = frozenset("nav footer aside form menu dialog search".split())
+BOILERPLATE = frozenset("nav footer aside menu dialog search".split())
 #: Elements whose end is implied by the start of a block.
 ENDS_AT_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 
@@ -48,6 +48,12 @@ MARKS = frozenset(
     "subscribe subscription newsletter signup login paywall form search "
     "comment comments commentlist disqus respond replies reply discussion reactions "
     "share sharing social related recommended recommendations teaser tags".split())
+#: Of these, the words that name boilerplate inside longer names too; others only raise a doubt there.
+ALWAYS = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored cookie cookies consent gdpr newsletter "
+    "comment comments commentlist disqus respond replies reply breadcrumb breadcrumbs pagination".split())
+#: Words after which a name says what an element has beside it, or lacks.
+BESIDE = frozenset("has with no without not non".split())
 ARTICLE_MARKS = frozenset("articlebody article-body entry-content post-content article-content story-body".split())
 
 STOP_WORDS = frozenset(
@@ -67,6 +73,7 @@ class Rules:
     low_stop: float = 0.20
     high_stop: float = 0.30
     link_share: float = 0.50
+    overrule: float = 3.0
 
 
 _TAG = re.compile(
@@ -75,37 +82,44 @@ _TAG = re.compile(
 _TAG_QUICK = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^a-zA-Z>][^>]*+(?:>|\Z)|"
                         r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_MARK = re.compile(r"[^0-9a-zA-Z-]+")
+_MARK = re.compile(r"[^0-9a-zA-Z_-]+")
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """Whether an element's attributes name boilerplate, and whether they name the article body."""
-    bad = good = False
+def _marks(attributes: str) -> tuple[bool, bool, bool]:
+    """Whether an element's attributes name boilerplate, name the article body, or raise a doubt only: a longer name
+    with such a word in it (``share-price-news``) may be the article's own."""
+    bad = good = doubt = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role", "itemprop"):
             for word in _MARK.split(value):
                 if word in ARTICLE_MARKS:
                     good = True
-                elif word in MARKS or any(part in MARKS for part in word.split("-")):
+                elif word in MARKS:
                     bad = True
+                else:
+                    for part in word.replace("_", "-").split("-"):
+                        if part in BESIDE:
+                            break
+                        bad, doubt = bad or part in ALWAYS, doubt or part in MARKS
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             bad = True
         elif name == "style" and "display:none" in value.replace(" ", ""):
             bad = True
-    return bad and not good, good
+    return bad and not good, good, doubt and not good
 
 
 class _Page:
-    """One page's blocks: [text parts, link characters, in boilerplate, in article, is heading]."""
+    """One page's blocks: (text, link characters, in boilerplate, in articles, is heading, in doubt)."""
 
     def __init__(self) -> None:
-        self.blocks: list[tuple[str, int, bool, tuple[int, ...], bool]] = []
-        self.stack: list[tuple[str, bool, bool]] = []
+        self.blocks: list[tuple[str, int, bool, tuple[int, ...], bool, bool]] = []
+        self.stack: list[tuple[str, bool, bool, bool]] = []
         self.parts: list[str] = []
         self.links = 0
         self.in_link = 0
         self.bad = 0
+        self.doubt = 0
         self.article: tuple[int, ...] = ()
         self.articles = 0
 
@@ -120,14 +134,15 @@ class _Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                heading = any(n in HEADINGS for n, _, _ in self.stack[-3:])
-                self.blocks.append((text, self.links, self.bad > 0, self.article, heading))
+                heading = any(x[0] in HEADINGS for x in self.stack[-3:])
+                self.blocks.append((text, self.links, self.bad > 0, self.article, heading, self.doubt > 0))
             self.parts = []
         self.links = 0
 
-    def push(self, name: str, bad: bool, article: bool) -> None:
-        self.stack.append((name, bad, article))
+    def push(self, name: str, bad: bool, article: bool, doubt: bool) -> None:
+        self.stack.append((name, bad, article, doubt))
         self.bad += bad
+        self.doubt += doubt
         if article:
             self.articles += 1
             self.article += (self.articles,)
@@ -135,8 +150,9 @@ class _Page:
     def pop_to(self, name: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == name:
-                for gone, bad, article in self.stack[i:]:
+                for gone, bad, article, doubt in self.stack[i:]:
                     self.bad -= bad
+                    self.doubt -= doubt
                     if article:
                         self.article = self.article[:-1]
                     if gone == "a":
@@ -148,29 +164,31 @@ class _Page:
         block = name in BLOCKS
         if block:
             self.close_block()
-            if self.stack and any(n in ENDS_AT_BLOCK for n, _, _ in self.stack):
-                for i, (n, _, _) in enumerate(self.stack):
-                    if n in ENDS_AT_BLOCK:
-                        self.pop_to(n)
-                        break
+            ended = next((x[0] for x in self.stack if x[0] in ENDS_AT_BLOCK), None)
+            if ended:
+                self.pop_to(ended)
+            if name in ("article", "main"):
+                self.pop_to("nav")  # a menu that was never closed ends where the article begins
             if name in ("li", "dt", "dd", "tr", "td", "th") and self.stack and self.stack[-1][0] == name:
                 self.pop_to(name)
         elif name == "br":
             self.parts.append(" ")
         if name in VOID:
             return
-        bad, good = _marks(attributes) if attributes and not attributes.isspace() else (False, False)
+        bad, good, doubt = _marks(attributes) if attributes and not attributes.isspace() else (False, False, False)
         in_article = bool(self.article)
         if name in BOILERPLATE or name == "header" and not in_article:
             bad = True
+        if name == "form" or name == "main" and bad:
+            bad, doubt = bad and name != "main", True
         if name in ("html", "body"):
-            bad = False
+            bad = doubt = False
         if name in ("article", "main"):
             good = not bad
         if name == "a":
             self.in_link += 1
-        if block or bad or name == "a":
-            self.push(name, bad, good)
+        if block or bad or doubt or name == "a":
+            self.push(name, bad, good, doubt)
 
     def end(self, name: str) -> None:
         if name in BLOCKS:
@@ -178,9 +196,9 @@ class _Page:
         self.pop_to(name)
 
 
-def blocks(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool]]:
+def blocks(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool, bool]]:
     """Text blocks of a page in page order: text, characters in links, in boilerplate, the article containers around
-    it (numbered, outermost first), heading."""
+    it (numbered, outermost first), heading, in doubt."""
     out, at, end = _Page(), 0, len(page)
     while at < end:
         m = _TAG_QUICK.search(page, at)
@@ -229,25 +247,42 @@ def _by_density(text: str, rules: Rules) -> str:
 def first_pass(found, rules: Rules) -> list[str]:
     """Label of each block on its own.
 
+    Elements in doubt (a name with a word of boilerplate in it, a form) count as boilerplate, unless the text in them
+    overrules that: where nothing outside is good by its container or its density, or where they hold
+    ``rules.overrule`` times as much good text."""
+    labels, solid = _judged(found, rules, True)
+    if not any(b[5] for b in found):
+        return labels
+    doubted, sure = _judged(found, rules, False)
+    inside = sum(len(b[0]) for b, x in zip(found, doubted) if b[5] and x == GOOD)
+    outside = sum(len(b[0]) for b, x in zip(found, labels) if x == GOOD)
+    return doubted if sure and (not solid or inside > rules.overrule * outside) else labels
+
+
+def _judged(found, rules: Rules, doubt: bool) -> tuple[list[str], bool]:
+    """Labels, and whether any is good by a voting container or by its density.
+
     A container votes for its blocks if those without boilerplate and links are longer than ``rules.long`` together;
     the blocks of others are judged as if they stood outside.  Only on a page where no container votes and no block
     outside is good by itself, all containers do: they are all that is known of it."""
     size: dict[int, int] = {}
-    labels = []
-    for text, links, bad, article, _ in found:
-        if _excluded((text, links, bad), rules):
+    out = [_excluded(b, rules) or doubt and b[5] for b in found]
+    labels: list[str | None] = []
+    for (text, _, _, article, _, _), excluded in zip(found, out):
+        if excluded:
             labels.append(BAD)
             continue
         labels.append(None)
         for c in article:
             size[c] = size.get(c, 0) + len(text)
     voting = {c for c, n in size.items() if n > rules.long}
-    for i, (text, _, _, article, _) in enumerate(found):
+    for i, (text, _, _, article, _, _) in enumerate(found):
         if labels[i] is None and not (article and article[-1] in voting):
             labels[i] = _by_density(text, rules)
+    solid = bool(voting) or GOOD in labels
     if not voting and not any(x == GOOD and not b[3] for x, b in zip(labels, found)):
-        labels = [GOOD if b[3] and not _excluded(b, rules) else x for x, b in zip(labels, found)]
-    return [x or GOOD for x in labels]
+        labels = [GOOD if b[3] and not gone else x for x, b, gone in zip(labels, found, out)]
+    return [x or GOOD for x in labels], solid
 
 
 def second_pass(found, labels: list[str]) -> list[bool]:

@@ -97,6 +97,24 @@ def test_html_article_is_a_vote(prose):
     assert html_text.main_text(f"<article><p>{long}</p></article><div>{other}</div>")[0] == f"{long}\n\n{other}"
 
 
+@pytest.mark.parametrize("opening", [
+    '<main class="content has-sidebar">', '<article id="privacy-law-2020">', '<article class="story share-price-news">',
+    '<div class="layout with-sidebar">', '<div class="page no-header">', '<form id="aspnetForm">', '<nav><a href="/">x</a><article>',
+    '<div class="layout_without_sidebar">', '<main class="search">', '<div id="legal-advice-column">'])
+def test_html_marks_are_a_vote(prose, opening):
+    long, other = prose(1, 90).replace("\n", " "), prose(2, 90).replace("\n", " ")
+    page = f"<body><div class='ad'>Buy of the and</div>{opening}<p>{long}</p><p>{other}</p>"
+    assert html_text.main_text(page)[0] == f"{long}\n\n{other}"
+
+
+@pytest.mark.parametrize("name", ["sidebar-left", "cookie-banner", "comment-list", "share-buttons", "page-header", "newsletter_box", "comments"])
+def test_html_doubtful_names_beside_an_article(prose, name):
+    long, notice = prose(1, 90).replace("\n", " "), prose(2, 60).replace("\n", " ")
+    for page in (f"<article><p>{long}</p></article><div class='{name}'><p>{notice}</p></div>",
+                 f"<div class='{name}'><p>{notice}</p></div><div><p>{long}</p></div>", f"<form><p>{notice}</p></form><div><p>{long}</p></div>"):
+        assert html_text.main_text(page)[0] == long
+
+
 def test_html_odd_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", None, "c"), (2, "u", "", "c"), (3, None, "<p", "c"), (4, "u", "<article><p>x<p>y", "c"),
@@ -142,6 +160,20 @@ def brute_groups(rows, k, percent):
     return {i: find(i) for i in ids}
 
 
+def test_minhash_ids_with_several_texts(make, prose):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(3, a, "s"), (5, a, "s"), (5, b, "s"), (7, b, "s"), (8, c, "s"), (9, None, "s"), (9, c, "s"), (None, a, "s"), (4, "", "s"), (4, b, "s")]
+    docs = make(rows)
+    got = {(r["doc_id"], r["n_shingles"] > 0): (r["component_id"], r["kept"]) for r in minhash.groups(docs).collect()}
+    want = brute_groups([r for r in rows if r[0] is not None], 5, 80)
+    for (i, _), (component, kept) in got.items():
+        assert i is None and component is None and kept or (component, kept) == (want[i], i == want[i])
+    assert want[5] == want[7] == want[4] == 3 and want[9] == 8
+    kept = sorted(map(repr, ((r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect())))
+    assert kept == sorted(map(repr, [(3, a), (4, b), (4, ""), (8, c), (9, None), (None, a)]))
+    assert minhash.keep_one(docs).columns == docs.columns
+
+
 @pytest.mark.parametrize("k,percent,bands,per", [(3, 85, 32, 5), (5, 80, 40, 5)])
 def test_minhash_groups(docs, rows, k, percent, bands, per):
     want = brute_groups(rows, k, percent)
@@ -424,6 +456,14 @@ def test_packing(docs, rows, encode):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_null_and_large_ids(make, prose):
+    rows = [((1 << 60) + 1, prose(1, 50), "s"), (None, prose(2, 50), "s"), ((1 << 60) + 3, prose(3, 50), "s"), (None, None, "s")]
+    got = packing.pack(make(rows)).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == [
+        (False, (1 << 60) + 1), (False, (1 << 60) + 3), (True, 0), (True, 0)]
+    assert len({r["sequence_id"] for r in got}) == 1 and sum(r["length"] for r in got) == max(r["offset"] + r["length"] for r in got)
+
+
 def test_packing_bound_and_best_fit():
     r = np.random.default_rng(4)
     for _ in range(40):
