@@ -3,9 +3,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from mercato.plans.registry import register
+from mercato.session import scratch_path
 from mercato.streaming import jobs as J
 
 
@@ -66,3 +69,40 @@ def late_rows_by_watermark(spark, sf):
     than 10 minutes behind the latest event time already seen."""
     from mercato.operators.ordered import late_rows
     return late_rows(J.events_batch(spark, sf), "event_id", "ts", 10)
+
+
+LANDED_SQL = """
+WITH d AS (SELECT *, substr(md5(CAST(event_id AS VARCHAR)), 1, 1) AS digit FROM events),
+a AS (SELECT event_id, event_type, ts, value, unnest(CASE WHEN digit IN ('0', '1') THEN [ts + INTERVAL 24 HOUR]
+        WHEN digit = '2' THEN [ts, ts + INTERVAL 24 HOUR] ELSE [ts] END) AS arrival FROM d),
+b AS (SELECT epoch_us(MIN(ts)) AS lo, epoch_us(MAX(ts) + INTERVAL 24 HOUR) AS hi FROM events),
+c AS (SELECT a.*, LEAST(CAST(floor((epoch_us(arrival) - lo) * 8 / (hi - lo)) AS INTEGER), 7) AS chunk FROM a, b),
+m AS (SELECT chunk, MAX(MAX(ts)) OVER (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM c GROUP BY chunk),
+r AS (SELECT c.*, COALESCE(c.ts < m.seen - INTERVAL 10 MINUTE, FALSE) AS late FROM c JOIN m USING (chunk))"""
+
+
+@register("stream_late_rows", "L3+L4", sql=LANDED_SQL + """
+SELECT event_type, chunk AS epoch, late, COUNT(*) AS n_rows, COUNT(DISTINCT event_id) AS n_events FROM r GROUP BY ALL""")
+def stream_late_rows(spark, sf):
+    """Events landed out of order, some late and some twice, pulled in eight micro-batches: no row is dropped, late
+    ones are in a side table."""
+    on_time, late = _landed(spark, sf)
+    rows = on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return rows.groupBy("event_type", "epoch", "late").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_events"))
+
+
+@register("stream_on_time_windows", "L2+L3+L4", sql=LANDED_SQL + """
+, first AS (SELECT DISTINCT event_id, event_type, ts, value, 0 AS late FROM r WHERE NOT late),
+ news AS (SELECT DISTINCT event_id, event_type, ts, value, 1 AS late FROM r WHERE late AND event_id NOT IN (SELECT event_id FROM first))
+SELECT date_trunc('hour', ts) AS window_start, event_type, COUNT(*) FILTER (WHERE late = 0) AS n,
+       round(COALESCE(SUM(value) FILTER (WHERE late = 0), 0.0), 4) AS value, COUNT(*) FILTER (WHERE late = 1) AS n_late
+FROM (SELECT * FROM first UNION ALL SELECT * FROM news) GROUP BY 1, 2""")
+def stream_on_time_windows(spark, sf):
+    """Hourly windows of what came in time, each event once, and how many late events were new to a window."""
+    return J.on_time_windows(*_landed(spark, sf))
+
+
+def _landed(spark, sf):
+    events = J.events_batch(spark, sf)
+    folders = J.out_of_order(events, scratch_path(spark, f"landed/{uuid.uuid4().hex}"))
+    return J.keep_late_rows(spark, folders, events.schema, "late")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.operators.relational import latest_per_key, seeded_hash
 
@@ -58,26 +59,43 @@ def upsert_partitions(incoming: DataFrame, path: str, keys: Sequence[str], order
         latest_per_key(incoming, keys, order).write.partitionBy(partition_col).parquet(path)
         return
     kinds = dict(incoming.dtypes)
-    existing = spark.read.parquet(path)
-    # Partition values come back type-inferred; align them with the incoming type.
-    existing = existing.withColumn(partition_col, F.col(partition_col).cast(kinds[partition_col]))
+    # Partition values are read as the incoming type, not guessed from the folder names ("007" is no number).
+    found = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, incoming.schema[f.name].dataType if f.name == partition_col else f.dataType)
+                           for f in found])
+    existing = spark.read.schema(schema).parquet(path)
     clash = sorted(c for c, t in existing.dtypes if c in kinds and kinds[c] != t)
     if clash:
         raise ValueError(f"columns change their type: {', '.join(clash)}")
-    moved = existing.join(incoming.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
+    if kinds[partition_col] == "string":  # an empty folder value is null
+        incoming = incoming.withColumn(partition_col, F.when(F.col(partition_col) != "", F.col(partition_col)))
+    moved = _semi(existing, incoming.select(*keys).distinct(), keys, "left_semi").select(partition_col)
     touched = incoming.select(partition_col).union(moved).distinct().checkpoint()
-    held = existing.join(touched, partition_col, "left_semi")
+    held = _semi(existing, touched, [partition_col], "left_semi")
     # Materialise before overwriting the folder we are reading from.
     merged = merge_latest(held, incoming, keys, order).checkpoint()
-    emptied = [r[0] for r in touched.join(merged.select(partition_col).distinct(), partition_col, "left_anti").collect()]
+    left = _semi(touched, merged.select(partition_col).distinct(), [partition_col], "left_anti")
+    emptied = [r[0] for r in left.select(F.col(partition_col).cast("string")).collect()]
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     # Partitions that lost all their rows (bounded by the touched ones) get no new files: remove the old.
+    # Folder names are Spark's own, with its escapes and its name for null.
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     for value in emptied:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={value}")
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(root, names.getPartitionPathString(partition_col, value))
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _semi(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join in which null keys are equal."""
+    named = other.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(on)])
+    cond = F.col(on[0]).eqNullSafe(F.col("_o0"))
+    for i, c in enumerate(on[1:], 1):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o{i}"))
+    return df.join(named, cond, how)
+
+
 def sample_export(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
     """Deterministic sample: rows whose seeded key hash falls in the first
     ``fraction`` of the hash space (same rows on every run and partitioning)."""
@@ -106,9 +124,10 @@ def quality_report(df: DataFrame, keys: Sequence[str], not_null: Sequence[str],
 
 def write_grouped_json(df: DataFrame, path: str, group_col: str, id_col: str, item_cols) -> None:
     """One JSON folder per group value: each line is an id with its sorted
-    array of items (``{district}/...`` files of ids -> items)."""
+    array of items (``{district}/...`` files of ids -> items).  A group is written by as many tasks as shuffles have
+    partitions, at most, so a group with most ids does not wait for a few of them."""
     items = F.sort_array(F.collect_list(F.struct(*item_cols))).alias("items")
     grouped = df.groupBy(group_col, id_col).agg(items)
-    # A group with most ids is written by several tasks.
-    (grouped.repartition(group_col, F.pmod(F.xxhash64(id_col), F.lit(8)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (grouped.repartition(tasks, group_col, F.pmod(F.xxhash64(id_col), F.lit(tasks)))
      .write.mode("overwrite").partitionBy(group_col).json(path))

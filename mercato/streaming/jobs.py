@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,3 +146,77 @@ def fan_out(events: DataFrame, name: str) -> DataFrame:
     acts = (spark.read.parquet(f"{base}/actions").agg(F.sum("count").alias("n"))
             .withColumn("table", F.lit("actions")))
     return items.unionByName(users).unionByName(acts)
+
+
+def out_of_order(events: DataFrame, path: str, chunks: int = 8, delay_hours: int = 24) -> list[str]:
+    """Land the events in ``chunks`` folders by time of arrival, an input with late and repeated rows: an event whose
+    id's digest starts with 0 or 1 arrives ``delay_hours`` late, and one whose digest starts with 2 arrives again then."""
+    digit = F.substring(F.md5(F.col("event_id").cast("string")), 1, 1)
+    hours = F.expr(f"INTERVAL {delay_hours} HOURS")
+    arrivals = F.when(digit.isin("0", "1"), F.array(F.col("ts") + hours)).when(
+        digit == "2", F.array(F.col("ts"), F.col("ts") + hours)).otherwise(F.array(F.col("ts")))
+    rows = events.withColumn("_at", F.explode(arrivals))
+    lo, hi = events.select(F.min("ts")).scalar(), events.select(F.max("ts") + hours).scalar()
+    at, lo, hi = (F.unix_micros(c) for c in (F.col("_at"), lo, hi))
+    chunk = F.least(F.floor((at - lo) * F.lit(chunks) / (hi - lo)).cast("int"), F.lit(chunks - 1))
+    rows.withColumn("_chunk", chunk).repartition("_chunk", F.pmod(F.xxhash64("event_id"), F.lit(8))).drop("_at").write.partitionBy(
+        "_chunk").parquet(path)
+    return [f"{path}/_chunk={i}" for i in range(chunks)]
+
+
+def keep_late_rows(spark: SparkSession, landed: Sequence[str], schema: T.StructType, name: str, delay: str = "10 minutes",
+                   fail_after: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pull each landed folder as one micro-batch and split it by the watermark; nothing is dropped.
+
+    The watermark of an epoch is the latest event time of all earlier epochs less ``delay``; it is read from what
+    those epochs wrote, so a replayed epoch splits alike.  Rows before it go to a side table, others to the
+    result, each in a folder per epoch that a replay overwrites.  Returns (on time, late).
+
+    ``fail_after`` names a step after which the first epoch fails once (tests of replay)."""
+    base = scratch_path(spark, f"streams/{name}/{uuid.uuid4().hex}")
+    failing = {"left": 1 if fail_after else 0}
+
+    def crash(step: str) -> None:
+        if failing["left"] and step == fail_after:
+            failing["left"] = 0
+            raise RuntimeError(f"lost after {step}")
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        seen = None
+        if epoch_id:
+            seen = batch.sparkSession.read.schema("epoch int, latest timestamp").parquet(f"{base}/seen").filter(
+                F.col("epoch") < epoch_id).agg(F.max("latest")).first()[0]
+        mark = F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        late = F.coalesce(F.col("ts") < mark, F.lit(False))
+        batch.filter(late).write.mode("overwrite").parquet(f"{base}/late/epoch={epoch_id}")
+        crash("late")
+        batch.filter(~late).write.mode("overwrite").parquet(f"{base}/on_time/epoch={epoch_id}")
+        batch.agg(F.max("ts").alias("latest")).write.mode("overwrite").parquet(f"{base}/seen/epoch={epoch_id}")
+        crash("seen")
+
+    def pull(at: int) -> None:
+        # one query per landed folder, as a scheduled pull runs it; epochs go on from folder to folder
+        source = spark.readStream.schema(schema).parquet(landed[at])
+        (source.writeStream.foreachBatch(lambda b, _: sink(b, at)).option("checkpointLocation", f"{base}/checkpoint/{at}")
+         .trigger(availableNow=True).start().awaitTermination())
+
+    for i in range(len(landed)):
+        try:
+            pull(i)
+        except StreamingQueryException:  # the same epoch again; a second failure is raised
+            if fail_after is None:
+                raise
+            pull(i)
+    full = T.StructType([*schema.fields, T.StructField("epoch", T.IntegerType())])
+    return spark.read.schema(full).parquet(f"{base}/on_time"), spark.read.schema(full).parquet(f"{base}/late")
+
+
+def on_time_windows(on_time: DataFrame, late: DataFrame) -> DataFrame:
+    """Hourly windows of the events that came in time (each event once, however often it arrived), and beside them
+    how many of the late ones were new to the window."""
+    first = on_time.groupBy("event_id", "event_type", "ts").agg(F.min("value").alias("value")).withColumn("_late", F.lit(0))
+    new = late.select("event_id", "event_type", "ts", "value").distinct().join(first.select("event_id"), "event_id", "left_anti")
+    both = first.unionByName(new.withColumn("_late", F.lit(1)).select(*first.columns))
+    return both.groupBy(F.date_trunc("hour", "ts").alias("window_start"), "event_type").agg(
+        F.count_if(F.col("_late") == 0).alias("n"), F.round(F.coalesce(F.sum(F.when(F.col("_late") == 0, F.col("value"))), F.lit(0.0)), 4).alias("value"),
+        F.count_if(F.col("_late") == 1).alias("n_late"))
