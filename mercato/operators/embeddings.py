@@ -1,9 +1,9 @@
 """Vector operators on ``array<float>`` embeddings.
 
 Class centroids are an aggregate over (class, dimension) cells.  The k
-centroids (k = number of classes, a bounded domain) are gathered into one
-array used as a scalar subquery, so scoring every vector against every
-centroid is a per-row ``transform``: no join and no pair rows.
+centroids are gathered into one array used as a scalar subquery, so scoring every vector against every
+centroid is a per-row ``transform``: no join and no pair rows.  Classes are a domain: their number is checked
+before they are gathered, and more than ``MOST_CLASSES`` are an error, not a larger array.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_CLASSES = 4096
+
+
 def dvec(c) -> Column:
     return F.transform(F.col(c) if isinstance(c, str) else c, lambda x: x.cast("double"))
 
@@ -36,9 +39,19 @@ def centroids(df: DataFrame, label: str, vec: str) -> DataFrame:
                                     ).select(label, "n", F.transform("s", lambda x: x["m"]).alias("centroid"))
 
 
+def _bounded(cents: DataFrame, label: str) -> DataFrame:
+    """``cents``, written once, if it has no more than ``MOST_CLASSES`` rows."""
+    from mercato.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(cents.sparkSession)
+    cents = cents.checkpoint()
+    if len(cents.select(label).take(MOST_CLASSES + 1)) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
+    return cents
+
+
 def centroid_array(cents: DataFrame, label: str) -> Column:
-    """All centroids as one scalar array<struct<label, n, centroid>> (k entries)."""
-    return cents.select(F.sort_array(F.collect_list(F.struct(label, "n", "centroid")))).scalar()
+    """All centroids as one scalar array<struct<label, n, centroid>> (k entries, at most ``MOST_CLASSES``)."""
+    return _bounded(cents, label).select(F.sort_array(F.collect_list(F.struct(label, "n", "centroid")))).scalar()
 
 
 def nearest_centroid(df: DataFrame, key: str, label: str, vec: str) -> DataFrame:
@@ -56,7 +69,7 @@ def nearest_centroid(df: DataFrame, key: str, label: str, vec: str) -> DataFrame
 
 def cluster_indices(df: DataFrame, label: str, vec: str) -> DataFrame:
     """Calinski-Harabasz and Davies-Bouldin indices for a given labelling."""
-    cents_df = centroids(df, label, vec)
+    cents_df = _bounded(centroids(df, label, vec), label)
     df = df.withColumn("_cents", centroid_array(cents_df, label))
     cents = F.col("_cents")
     v = dvec(vec)
@@ -83,7 +96,7 @@ def cluster_indices(df: DataFrame, label: str, vec: str) -> DataFrame:
 
 def ward_merge_costs(df: DataFrame, label: str, vec: str) -> DataFrame:
     """Ward merge cost n_a n_b / (n_a + n_b) * |m_a - m_b|^2 for each class pair."""
-    cents = centroids(df, label, vec)
+    cents = _bounded(centroids(df, label, vec), label)
     arr = cents.select(F.sort_array(F.collect_list(F.struct(label, "n", "centroid"))).alias("cs"))
     a = arr.select(F.posexplode("cs").alias("i", "a"), "cs")
     b = a.select("i", "a", F.posexplode("cs").alias("j", "b")).filter(F.col("i") < F.col("j"))

@@ -51,19 +51,58 @@ def chi2_sf(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([_gammaincc(d / 2.0, s / 2.0) if s == s else float("nan") for s, d in zip(stat, dof)])
 
 
-def _range_cdf(q: float, k: int) -> float:
-    """P(range of k iid N(0,1) <= q) (studentised range with infinite df)."""
-    z = np.linspace(-8, 8, 4001)
-    nd = NormalDist()
+_erf = np.vectorize(math.erf, otypes=[float])
+
+
+def _normal(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1.0 + _erf(x / math.sqrt(2.0)))
+
+
+def _range_cdf(q: np.ndarray, k: int) -> np.ndarray:
+    """P(range of k iid N(0,1) <= q) for each q, by Gauss-Legendre over the smallest."""
+    x, w = np.polynomial.legendre.leggauss(96)
+    z, w = 8.0 * x, 8.0 * w
     phi = np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
-    cdf = np.array([nd.cdf(v) for v in z])
-    cdf_shift = np.array([nd.cdf(v - q) for v in z])
-    return float(k * np.trapezoid(phi * (cdf - cdf_shift) ** (k - 1), z))
+    gap = np.clip(_normal(z[None, :] + q[:, None]) - _normal(z)[None, :], 0.0, 1.0)
+    return np.clip(k * (w * phi * gap ** (k - 1)).sum(axis=1), 0.0, 1.0)
+
+
+def studentized_range_cdf(q: float, k: int, df: float) -> float:
+    """P(range / s <= q) with s^2 a mean square of ``df`` degrees of freedom: the range's distribution averaged over
+    s = sqrt(chi2 / df), whose density is integrated around its mode."""
+    if q <= 0:
+        return 0.0
+    if not math.isfinite(df) or df > 1e6:
+        return float(_range_cdf(np.array([q]), k)[0])
+    x, w = np.polynomial.legendre.leggauss(96)
+    wide = min(12.0 / math.sqrt(2.0 * df), 6.0)
+    lo, hi = max(0.0, 1.0 - wide), 1.0 + wide
+    s, w = (hi - lo) / 2 * x + (hi + lo) / 2, (hi - lo) / 2 * w
+    log_density = math.log(2.0) + df / 2 * math.log(df / 2) - math.lgamma(df / 2) + (df - 1) * np.log(s) - df * s * s / 2
+    return float(min(1.0, (w * np.exp(log_density) * _range_cdf(q * s, k)).sum()))
+
+
+def _range_quantile(p: float, k: int, df: float) -> float:
+    """The q with P(range / s <= q) = p, by bisection."""
+    lo, hi = 0.0, 8.0
+    while studentized_range_cdf(hi, k, df) < p and hi < 1e6:
+        hi *= 2
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if studentized_range_cdf(mid, k, df) < p else (lo, mid)
+    return (lo + hi) / 2
 
 
 @F.pandas_udf(T.DoubleType())
-def studentized_range_sf(q: pd.Series, k: pd.Series) -> pd.Series:
-    return pd.Series([max(0.0, 1.0 - _range_cdf(float(a), int(b))) for a, b in zip(q, k)])
+def studentized_range_sf(q: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
+    return pd.Series([max(0.0, 1.0 - studentized_range_cdf(float(a), int(b), float(c))) for a, b, c in zip(q, k, df)])
+
+
+@F.pandas_udf(T.DoubleType())
+def studentized_range_quantile(p: pd.Series, k: pd.Series, df: pd.Series) -> pd.Series:
+    known: dict[tuple, float] = {}
+    return pd.Series([known.setdefault(x, known.get(x) or _range_quantile(*x)) for x in (
+        (float(a), int(b), float(c)) for a, b, c in zip(p, k, df))])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -117,19 +156,25 @@ def kruskal_wallis(df: DataFrame, group: str, col: str) -> DataFrame:
     return x.select((h / corr).alias("H"), (F.col("k") - 1).cast("int").alias("dof"), F.col("N").alias("n"))
 
 
+#: Groups compared pair by pair.
+MOST_GROUPS = 1000
+
+
 def tukey_pairs(df: DataFrame, group: str, col: str) -> DataFrame:
     """Pairwise mean differences with the studentised statistic q.  Group
     statistics (k rows) are gathered into one array and paired by generators."""
     g = df.groupBy(group).agg(F.count(col).alias("n"), F.avg(col).alias("mean"), F.var_samp(col).alias("var"))
+    if len(g.select(group).take(MOST_GROUPS + 1)) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups would be compared pair by pair")
     pooled = g.agg(F.sort_array(F.collect_list(F.struct(group, "n", "mean", "var"))).alias("gs"),
                    (F.sum((F.col("n") - 1) * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("mse"),
-                   F.count(F.lit(1)).alias("k"))
-    a = pooled.select("mse", "k", F.posexplode("gs").alias("i", "a"), "gs")
-    b = a.select("mse", "k", "i", "a", F.posexplode("gs").alias("j", "b")).filter(F.col("i") < F.col("j"))
+                   F.count(F.lit(1)).alias("k"), (F.sum("n") - F.count(F.lit(1))).cast("double").alias("df"))
+    a = pooled.select("mse", "k", "df", F.posexplode("gs").alias("i", "a"), "gs")
+    b = a.select("mse", "k", "df", "i", "a", F.posexplode("gs").alias("j", "b")).filter(F.col("i") < F.col("j"))
     diff = F.col("b.mean") - F.col("a.mean")
     se = F.sqrt(F.col("mse") / 2.0 * (1.0 / F.col("a.n") + 1.0 / F.col("b.n")))
     return b.select(F.col(f"a.{group}").alias("group1"), F.col(f"b.{group}").alias("group2"),
-                    diff.alias("meandiff"), (F.abs(diff) / se).alias("q"), "k", se.alias("se"))
+                    diff.alias("meandiff"), (F.abs(diff) / se).alias("q"), "k", "df", se.alias("se"))
 
 
 def ks_statistic(df: DataFrame, col: str) -> DataFrame:

@@ -81,7 +81,13 @@ def calendar_spine(df: DataFrame, keys: Sequence[str], date_col: str, step: str
 
 def reconcile(df: DataFrame, keys: Sequence[str], date_col: str, values: Sequence[str],
               step: str = "1 day", fill: float | None = 0.0, global_range: bool = True) -> DataFrame:
-    """Left-join the series onto its calendar spine; missing steps get ``fill``."""
+    """Left-join the series onto its calendar spine; missing steps get ``fill``.
+
+    The series (one row per key and step at most) is written once: its bounds, its keys and the join all read that,
+    not the query that made it."""
+    from mercato.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.select(*keys, date_col, *values).checkpoint()
     spine = calendar_spine(df, keys, date_col, step, global_range)
     out = spine.join(df.select(*keys, date_col, *values), on=[*keys, date_col], how="left")
     if fill is not None:

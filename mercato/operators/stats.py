@@ -45,7 +45,7 @@ def fixed_bins(df: DataFrame, col: str, n: int, by: Sequence[str] = ()) -> DataF
     in bin ``n`` (``width_bucket`` would put it in ``n + 1``)."""
     if by:
         bounds = df.groupBy(*by).agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-        x = df.join(bounds, list(by))
+        x = join_groups(df, bounds, by)
     else:
         x = df.withColumn("lo", df.select(F.min(col)).scalar()).withColumn(
             "hi", df.select(F.max(col)).scalar())

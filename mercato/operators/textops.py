@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mercato.operators.relational import spread
+
 
 def squeeze_lower(c: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
@@ -21,13 +23,13 @@ SENTENCE_END = r"[.!?][ \t\n\r]+"
 
 
 def sentences_with_context(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Sentence rows with the previous and next sentence (window per document,
-    bounded by the document's sentence count)."""
-    from pyspark.sql import Window
-    s = df.select(key, F.posexplode(F.split(F.col(text), SENTENCE_END)).alias("pos", "sentence"))
-    w = Window.partitionBy(key).orderBy("pos")
-    return s.select(key, "pos", "sentence", F.lag("sentence").over(w).alias("prev_sentence"),
-                    F.lead("sentence").over(w).alias("next_sentence"))
+    """Sentence rows with the previous and next sentence: the row's array of sentences is zipped with itself shifted by
+    one each way, so no row leaves its task."""
+    x = df.select(key, F.split(F.col(text), SENTENCE_END).alias("_s"))
+    none = F.array(F.lit(None).cast("string"))
+    zipped = F.arrays_zip(F.col("_s").alias("s"), F.concat(none, "_s").alias("p"), F.concat(F.slice("_s", 2, F.size("_s")), none).alias("n"))
+    z = x.select(key, F.posexplode(F.slice(zipped, 1, F.size("_s"))).alias("pos", "z"))
+    return z.select(key, "pos", F.col("z.s").alias("sentence"), F.col("z.p").alias("prev_sentence"), F.col("z.n").alias("next_sentence"))
 
 
 def words(c: Column) -> Column:
@@ -61,6 +63,7 @@ def phrase_hits(docs: DataFrame, doc_key: str, text: str, entries: DataFrame, ke
     the whole entry is compared with the document's words."""
     e = entries.select(F.col(key).alias("label"), words(F.col(phrase)).alias("_e")).filter(F.size("_e") > 0)
     e = e.withColumn("_s", F.least(F.size("_e"), F.lit(3)))
+    docs = spread(docs.select(doc_key, text))
     found = None
     for r in e.select("_s").distinct().orderBy("_s").collect():  # at most 1, 2 and 3
         n = r["_s"]
@@ -69,27 +72,26 @@ def phrase_hits(docs: DataFrame, doc_key: str, text: str, entries: DataFrame, ke
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         return docs.select(doc_key, F.lit(0).alias("pos"), F.lit(None).alias("label")).filter("false")
-    d = docs.select(F.col(doc_key).alias("_k"), words(F.col(text)).alias("_w"))
-    whole = found.join(d, F.col(doc_key) == F.col("_k"))
-    return whole.filter(F.slice("_w", F.col("pos") + 1, F.size("_e")) == F.col("_e")).select(doc_key, "pos", "label")
+    # entries of no more words than were looked up are found already; the rest are compared with their text, which
+    # joins all of its places once
+    longer = found.filter(F.size("_e") > 3)
+    places = longer.groupBy(F.col(doc_key).alias("_k")).agg(F.collect_list(F.struct("pos", "label", "_e")).alias("_p"))
+    whole = docs.join(places, F.col(doc_key) == F.col("_k")).select(doc_key, F.explode(F.get(F.transform(
+        F.array(words(F.col(text))), lambda w: F.filter("_p", lambda p: F.slice(w, p["pos"] + 1, F.size(p["_e"])) == p["_e"])), F.lit(0))).alias("h"))
+    return found.filter(F.size("_e") <= 3).select(doc_key, "pos", "label").unionByName(whole.select(doc_key, "h.pos", "h.label"))
 
 
 def context_windows(df: DataFrame, key: str, text: str, phrase: str, width: int = 65) -> DataFrame:
     """``width`` words centred on every occurrence of ``phrase`` (one word).
 
-    Words are exploded once to (key, pos, word); each hit emits the positions
-    of its window, which are equi-joined back to the words and collected in
-    order.  Work is linear in text length plus hits x width; no row carries the
-    whole document."""
-    w = df.select(key, F.posexplode(F.split(F.col(text), r"\s+")).alias("pos", "word"))
+    Each row cuts the windows from its own array of words (bound once per row): work and output are linear in the
+    text's length plus hits x width, and no row leaves its task."""
     half = width // 2
-    hits = w.filter(F.lower("word") == phrase.lower()).select(key, F.col("pos").alias("hit"))
-    span = F.sequence(F.greatest(F.col("hit") - half, F.lit(0)), F.col("hit") + half)
-    cells = hits.select(key, "hit", F.explode(span).alias("pos"))
-    joined = cells.join(w, [key, "pos"])
-    ctx = joined.groupBy(key, "hit").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("ws"))
-    return ctx.select(key, F.col("hit").alias("pos"),
-                      F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("context"))
+    cut = F.get(F.transform(F.array(F.split(F.col(text), r"\s+")), lambda w: F.transform(
+        F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.lower(F.get(w, i)) == phrase.lower()),
+        lambda i: F.struct(i.alias("pos"), F.array_join(F.slice(
+            w, F.greatest(i - half, F.lit(0)) + 1, F.least(i, F.lit(half)) + half + 1), " ").alias("context")))), F.lit(0))
+    return df.filter(F.col(text).isNotNull()).select(key, F.inline(cut))
 
 
 # Inline annotation markup ``[entity text](Label)``, optional space before "(".

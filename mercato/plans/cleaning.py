@@ -3,6 +3,8 @@ outlier trims (§2.J J1-J5)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -50,9 +52,12 @@ def projection_rename(spark, sf):
 SELECT product_id, order_id, date, price_numeric FROM tracking
 WHERE date >= (SELECT MAX(date) FROM tracking) - INTERVAL 30 DAY""")
 def trailing_interval_filter(spark, sf):
-    tr = tracking(Tables(spark, sf))
-    return (tr.filter(F.col("date") >= F.date_sub(tr.select(F.max("date")).scalar(), 30))
-            .select("product_id", "order_id", "date", "price_numeric"))
+    """The cutoff is a constant by the time the rows are read, so the scan skips older ones by their statistics."""
+    t = Tables(spark, sf)
+    last = tracking(t).agg(F.max("date")).first()[0]
+    if last is None:
+        return tracking(t).select("product_id", "order_id", "date", "price_numeric")
+    return tracking(t, since=last - dt.timedelta(days=30)).select("product_id", "order_id", "date", "price_numeric")
 
 
 @register("half_open_pull_window", "C3", sql="""

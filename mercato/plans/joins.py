@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mercato.operators.relational import latest_with_ties, money_avg, reconcile
-from mercato.operators.ranges import join_groups, quantiles
+from mercato.operators.ranges import if_small, join_groups, quantiles
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, demand, tracking
 
@@ -106,7 +106,8 @@ def brand_semi_join(spark, sf):
     recent = tr.filter(F.col("date") >= F.date_sub(tr.select(F.max("date")).scalar(), 90))
     brands = (recent.groupBy("brand_title").agg(F.countDistinct("product_id").alias("n"))
               .filter(F.col("n") > 20).select("brand_title"))
-    return (tr.join(brands, "brand_title", "left_semi").groupBy("brand_title")
+    # few brands are broadcast after a count, so the rows are not dealt by a key of few values
+    return (tr.join(if_small(brands), "brand_title", "left_semi").groupBy("brand_title")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("price_numeric"), 2).alias("sum_price")))
 
 

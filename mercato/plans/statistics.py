@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from mercato.operators import embeddings as EMB
 from mercato.operators.hypothesis import (
-    chi2_sf, ks_statistic, kruskal_wallis, normal_cdf_sql, normal_ppf, studentized_range_sf, tukey_pairs,
+    chi2_sf, ks_statistic, kruskal_wallis, normal_cdf_sql, normal_ppf, studentized_range_quantile, studentized_range_sf, tukey_pairs,
 )
 from mercato.operators.portfolio import MOST_COVARIANCE_ASSETS, asset_covariance, basket_metrics, daily_asset_prices, price_assets
+from mercato.operators.ranges import if_small, join_groups
 from mercato.operators.ranking import rank_table
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, tracking
@@ -55,9 +56,12 @@ def tukey_meandiff(spark, sf):
 
 @register("tukey_hsd", "J7")
 def tukey_hsd(spark, sf):
+    """Differences with p-values and 95 % intervals of the studentised range with the residual degrees of freedom."""
     t = tukey_pairs(tracking(Tables(spark, sf)), "catalog_id", "price_numeric")
-    p = studentized_range_sf(F.col("q"), F.col("k"))
-    return t.withColumn("p_adj", p).withColumn("reject", F.col("p_adj") < 0.05)
+    half = studentized_range_quantile(F.lit(0.95), F.col("k"), F.col("df")) * F.col("se")
+    return (t.withColumn("p_adj", studentized_range_sf(F.col("q"), F.col("k"), F.col("df")))
+            .withColumn("lower", F.col("meandiff") - half).withColumn("upper", F.col("meandiff") + half)
+            .withColumn("reject", F.col("p_adj") < 0.05))
 
 
 @register("ks_statistic_normal", "J8", sql=f"""
@@ -101,7 +105,8 @@ p AS (SELECT t.brand_title, t.price_numeric AS y, m.yhat FROM tracking t JOIN m
 def _predictions(spark, sf):
     tr = tracking(Tables(spark, sf))
     m = tr.groupBy("catalog_id").agg(F.avg("price_numeric").alias("yhat"))
-    return tr.join(m, "catalog_id").select("brand_title", F.col("price_numeric").alias("y"), "yhat")
+    return join_groups(tr.filter("catalog_id is not null"), m, ["catalog_id"], "inner").select(
+        "brand_title", F.col("price_numeric").alias("y"), "yhat")
 
 
 @register("regression_metrics", "K9", sql=_PRED_SQL + """

@@ -93,9 +93,12 @@ def read_jdbc_query(spark: SparkSession, url: str, query: str, partition_column:
 # ----------------------------------------------------------------------------------------------
 # Bound views
 
-def tracking(t: Tables) -> DataFrame:
-    """Marketplace snapshot rows: lineitem joined with part."""
+def tracking(t: Tables, since=None) -> DataFrame:
+    """Marketplace snapshot rows: lineitem joined with part; with ``since``, a date, only rows from that day on (a
+    condition on the stored timestamp, which reaches the scan)."""
     li, p = t.lineitem, t.part
+    if since is not None:
+        li = li.filter(F.col("l_shipdate") >= F.lit(str(since)).cast("timestamp"))
     return li.join(p, li.l_partkey == p.p_partkey, "inner").select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("user_id"),
