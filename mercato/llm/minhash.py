@@ -128,29 +128,31 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) for every end of ``edges`` (a, c): the smallest id reachable.
 
-    Large-star and small-star rounds; each round is written to the shared folder, and the rounds end when
-    the links' checksum stays the same."""
+    Large-star and small-star rounds; each round is written to the shared folder.  They end as soon as the
+    links are stars, which one shuffle of the ends tells without another round."""
     e = saved(edges.filter("a <> c").select(F.greatest("a", "c").alias("u"), F.least("a", "c").alias("v")).distinct(),
               "links")
-    seen = None
-    while True:
+    while not _stars(e):
         # large star: a node's larger neighbours go to the smallest node around it
         around = e.select("u", "v").union(e.select(F.col("v"), F.col("u"))).toDF("u", "v")
         low = around.groupBy("u").agg(F.min("v").alias("m"))
         low = low.select("u", F.least("u", "m").alias("m"))
-        large = around.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = around.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours go to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").union(
             low.select("u", F.col("m").alias("v"))).distinct()
         e = saved(small, "links")
-        state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
-        if state == seen:
-            break
-        seen = state
-    return e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component").union(
-        e.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component"))).groupBy("id").agg(
-        F.min("component").alias("component"))
+    return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
+        e.select("v").distinct().select(F.col("v").alias("id"), F.col("v").alias("component")))
+
+
+def _stars(e: DataFrame) -> bool:
+    """Whether every larger end of ``e`` (u > v) has one link and is the smaller end of none."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("up")),
+                                      F.struct(F.col("v").alias("id"), F.lit(0).alias("up")))).alias("n")).select("n.*")
+    odd = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).filter("ups > 1 or ups = 1 and least = 0")
+    return not has_rows(odd)
 
 
 def _grouped(source: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
