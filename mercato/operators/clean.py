@@ -115,6 +115,15 @@ def density_keep_bins(df: DataFrame, col: str, n_bins: int, nu: float) -> DataFr
     return c.select("bin", "cnt", F.when(before < (1 - nu) * F.col("n"), 1).otherwise(0).alias("kept"))
 
 
+def density_keep_rows(df: DataFrame, col: str, n_bins: int, nu: float) -> DataFrame:
+    """The rows of ``df`` in the bins that ``density_keep_bins`` keeps, with their ``bin``; null values go."""
+    lo, hi = df.select(F.min(col)).scalar(), df.select(F.max(col)).scalar()
+    kept = density_keep_bins(df.filter(F.col(col).isNotNull()), col, n_bins, nu).filter("kept = 1").select("bin")
+    binned = df.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("bin", F.least(F.floor(
+        (F.col(col) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * n_bins).cast("int") + 1, F.lit(n_bins))).drop("_lo", "_hi")
+    return binned.join(F.broadcast(kept), "bin", "left_semi")  # at most n_bins rows
+
+
 def hash_rank_within(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
     """Exact 1-based rank of each row inside its group by a seeded key hash, plus the group size.
 

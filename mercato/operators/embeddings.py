@@ -94,6 +94,13 @@ def cluster_indices(df: DataFrame, label: str, vec: str) -> DataFrame:
     return base.select(F.round(ch, 6).alias("calinski_harabasz"), F.round(db, 6).alias("davies_bouldin"))
 
 
+def cluster_sse(df: DataFrame, label: str, vec: str) -> DataFrame:
+    """(label, n, sse): squared error of the vectors around their cluster's mean, from sums per cluster and dimension."""
+    cells = df.select(label, F.posexplode(dvec(vec)).alias("d", "x")).groupBy(label, "d").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.sum(F.col("x") * F.col("x")).alias("q"))
+    return cells.groupBy(label).agg(F.max("n").alias("n"), F.sum(F.col("q") - F.col("n") * F.col("m") * F.col("m")).alias("sse"))
+
+
 def ward_merge_costs(df: DataFrame, label: str, vec: str) -> DataFrame:
     """Ward merge cost n_a n_b / (n_a + n_b) * |m_a - m_b|^2 for each class pair."""
     cents = _bounded(centroids(df, label, vec), label)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,6 +163,10 @@ def _alias(c) -> str:
 
 def acf(df: DataFrame, key: str, time: str, v: str, max_lag: int) -> DataFrame:
     """Autocorrelation r_k = sum (x_t - mu)(x_{t-k} - mu) / sum (x_t - mu)^2."""
+    return _acf_sums(df, key, time, v, max_lag).select(key, "k", F.round("r", 6).alias("acf"))
+
+
+def _acf_sums(df: DataFrame, key: str, time: str, v: str, max_lag: int) -> DataFrame:
     mu = df.groupBy(key).agg(F.avg(v).alias("_mu"))
     d = df.join(mu, key).withColumn("dx", F.col(v) - F.col("_mu"))
     w = _w(key, time)
@@ -172,8 +176,76 @@ def acf(df: DataFrame, key: str, time: str, v: str, max_lag: int) -> DataFrame:
                                      for k in range(1, max_lag + 1)])
     entries = F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"), F.col(f"n{k}").alias("num"))
                         for k in range(1, max_lag + 1)])
-    return sums.select(key, "den", F.inline(entries)).select(
-        key, "k", F.round(F.col("num") / F.col("den"), 6).alias("acf"))
+    return sums.select(key, "den", F.inline(entries)).select(key, "k", F.when(F.col("den") > 0, F.col("num") / F.col("den")).alias("r"))
+
+
+def pacf(df: DataFrame, key: str, time: str, v: str, max_lag: int) -> DataFrame:
+    """Partial autocorrelations to ``max_lag`` by the Durbin-Levinson recursion over each series' autocorrelations."""
+    r = _acf_sums(df, key, time, v, max_lag).groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "r"))), lambda x: x["r"]).alias("_r"))
+    zero = F.lit(0.0)
+
+    def step(state: Column, k: Column) -> Column:
+        # phi are the coefficients of order k - 1; the last of order k is the partial autocorrelation
+        phi, out = state["phi"], state["out"]
+        back = F.zip_with(phi, F.reverse(F.slice("_r", 1, k - 1)), lambda a, b: a * b)
+        fore = F.zip_with(phi, F.slice("_r", 1, k - 1), lambda a, b: a * b)
+        total = lambda x: F.aggregate(x, zero, lambda acc, y: acc + y)
+        num, den = F.get("_r", k - 1) - total(back), 1.0 - total(fore)
+        return F.get(F.transform(F.array(F.when(F.abs(den) > 1e-12, num / den)), lambda a: F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - a * y), F.array(a)).alias("phi"),
+            F.concat(out, F.array(a)).alias("out"))), F.lit(0))
+
+    none = F.array().cast("array<double>")
+    done = F.aggregate(F.sequence(F.lit(1), F.lit(max_lag)), F.struct(none.alias("phi"), none.alias("out")), step, lambda x: x["out"])
+    return r.select(key, F.posexplode(done).alias("i", "pacf")).select(key, (F.col("i") + 1).cast("bigint").alias("k"), F.round("pacf", 6).alias("pacf"))
+
+
+def change_points(df: DataFrame, key: str, time: str, v: str, half: int, weight: float = 3.0) -> DataFrame:
+    """Where the sliding gain is the largest within ``half`` steps each way and exceeds the penalty
+    ``weight`` * var(x) * ln(n) of its series."""
+    gains = change_gain(df, key, time, v, half)
+    pen = df.groupBy(key).agg((F.lit(weight) * F.var_samp(v) * F.ln(F.count(F.lit(1)).cast("double"))).alias("penalty"))
+    top = F.max("gain").over(_w(key, time).rowsBetween(-half, half))
+    return gains.withColumn("_top", top).join(pen, key).filter((F.col("gain") == F.col("_top")) & (F.col("gain") > F.col("penalty"))).select(
+        key, time, "gain", F.round("penalty", 4).alias("penalty"))
+
+
+def segment_breaks(df: DataFrame, key: str, time: str, v: str, weight: float = 3.0, least: int = 5) -> DataFrame:
+    """Breakpoints of the best segmentation of each series: squared error around segment means plus a penalty
+    ``weight`` * noise * ln(n) per segment, the noise from the median absolute step.  Exact dynamic programme
+    with pruning of starts that can no longer win; one calendar-bounded series per group."""
+    kind = df.schema[key].dataType.simpleString()
+    when = df.schema[time].dataType.simpleString()
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(time)
+        x = pdf[v].to_numpy(dtype=float)
+        n = len(x)
+        noise = (np.median(np.abs(np.diff(x))) / 0.9539) ** 2 if n > 1 else 0.0
+        pen = weight * max(noise, 1e-12) * np.log(max(n, 2))
+        s, q = np.concatenate(([0.0], np.cumsum(x))), np.concatenate(([0.0], np.cumsum(x * x)))
+        best, last = np.full(n + 1, np.inf), np.zeros(n + 1, np.int64)
+        best[0], starts = -pen, np.array([0])
+        for t in range(least, n + 1):
+            if t >= 2 * least:
+                starts = np.append(starts, t - least)
+            cost = q[t] - q[starts] - (s[t] - s[starts]) ** 2 / (t - starts)
+            total = best[starts] + cost + pen
+            i = int(total.argmin())
+            best[t], last[t] = total[i], starts[i]
+            starts = starts[best[starts] + cost <= best[t]]
+        breaks, t = [], n
+        while n >= least and last[t] > 0:
+            t = last[t]
+            breaks.append(t)
+        rows = pdf.iloc[sorted(breaks)]
+        means = [0, *sorted(breaks), n]
+        out = pd.DataFrame({key: rows[key], time: rows[time]})
+        out["mean_before"] = [float(x[a:b].mean()) for a, b in zip(means, means[1:-1])]
+        out["mean_after"] = [float(x[a:b].mean()) for a, b in zip(means[1:-1], means[2:])]
+        return out
+
+    return df.select(key, time, v).groupBy(key).applyInPandas(cut, f"{key} {kind}, {time} {when}, mean_before double, mean_after double")
 
 
 def change_gain(df: DataFrame, key: str, time: str, v: str, half: int) -> DataFrame:

@@ -279,6 +279,20 @@ def density_novelty_filter(spark, sf):
     return density_keep_bins(tracking(Tables(spark, sf)), "price_numeric", 50, 0.1)
 
 
+@register("novelty_kept_rows", "J5", sql="""
+WITH b AS (SELECT MIN(price_numeric) AS lo, MAX(price_numeric) AS hi, COUNT(*) AS n FROM tracking),
+x AS (SELECT t.product_id, t.order_id, t.package_size_id, t.price_numeric, n,
+             LEAST(CAST(floor((price_numeric - lo) / (hi - lo) * 50) AS INTEGER) + 1, 50) AS bin FROM tracking t, b),
+c AS (SELECT bin, COUNT(*) AS cnt, MAX(n) AS n FROM x GROUP BY bin),
+r AS (SELECT bin, n, COALESCE(SUM(cnt) OVER (ORDER BY cnt DESC, bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c)
+SELECT product_id, order_id, package_size_id, price_numeric, bin FROM x WHERE bin IN (SELECT bin FROM r WHERE before < 0.9 * n)""")
+def novelty_kept_rows(spark, sf):
+    """The rows that the novelty filter keeps."""
+    from mercato.operators.clean import density_keep_rows
+    tr = tracking(Tables(spark, sf)).select("product_id", "order_id", "package_size_id", "price_numeric")
+    return density_keep_rows(tr, "price_numeric", 50, 0.1)
+
+
 @register("class_undersample_counts", "G4", sql="""
 WITH c AS (SELECT quality, COUNT(*) AS n FROM labels GROUP BY quality)
 SELECT quality, (SELECT MIN(n) FROM c) AS n_kept FROM c""")

@@ -1,10 +1,10 @@
-"""Model jobs on ``pyspark.ml``.  Rows-only checks: each job is
-seeded and its unit test asserts it beats a trivial baseline."""
+"""Model jobs on ``pyspark.ml``, all seeded.  The driver's tables are random, so models find little in
+them; ``tests/test_models.py`` runs the operators on fixtures with a planted signal."""
 
 from __future__ import annotations
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,7 +13,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from mercato.operators import dtw as D
 from mercato.operators import ml as M
+from mercato.operators.embeddings import cluster_sse
 from mercato.operators.evaluation import class_report
 from mercato.operators.portfolio import basket_metrics, daily_asset_prices, price_assets
 from mercato.operators.relational import reconcile
@@ -25,6 +27,8 @@ from mercato.sources.tables import Tables, demand, tracking
 
 CATS = ["catalog_id", "brand_title", "size_title", "status"]
 NUMS = ["view_count", "discount", "package_size_d"]
+#: Days of history that the lookback comparison gives a model.
+LOOKBACKS = (7, 30, 180, 365, 545)
 
 
 def _tracking_features(spark, sf):
@@ -186,15 +190,70 @@ def series_kmeans(spark, sf):
 
 @register("dtw_medoid_assignment", "K21")
 def dtw_medoid_assignment(spark, sf):
-    """Each series is compared with m medoid series (m fixed, chosen by seeded
-    hash): n x m DTW evaluations in an Arrow UDF, never all n x n pairs."""
-    s = _monthly_series(spark, sf)
-    medoids = (s.orderBy(F.xxhash64("product_id", F.lit(5)), "product_id").limit(5)
-               .select(F.sort_array(F.collect_list(F.struct(F.col("product_id").alias("id"), "series")))).scalar())
-    x = s.withColumn("_medoids", medoids)
-    a = M.dtw_to_medoids_udf(band=6)(F.col("series"), F.col("_medoids"))
-    return x.select("product_id", a.alias("m")).select("product_id", "m.medoid", F.round("m.distance", 6)
-                                                         .alias("distance"))
+    """Each series is compared with m medoid series (m fixed, chosen by seeded hash), never with all others."""
+    s = _monthly_series(spark, sf).checkpoint()
+    found = s.orderBy(F.xxhash64("product_id", F.lit(5)), "product_id").limit(5).collect()
+    medoids = sorted((r["product_id"], list(r["series"])) for r in found)
+    return D.assign(s, "product_id", "series", medoids, band=6).select("product_id", "medoid", F.round("distance", 6).alias("distance"))
+
+
+@register("dtw_clustering", "K21")
+def dtw_clustering(spark, sf):
+    """Series clustered by dynamic time warping: k-medoids with medoid update."""
+    return D.k_medoids(_monthly_series(spark, sf), "product_id", "series", k=3, band=6).select(
+        "product_id", "medoid", F.round("distance", 6).alias("distance"))
+
+
+@register("permutation_importance", "K23")
+def permutation_importance(spark, sf):
+    """Rise of the held-out RMSE when one column, of all that the model uses, is permuted."""
+    x, pipe = _tracking_features(spark, sf)
+    raw = x.select(*CATS, *NUMS, "label", "fold", "order_id", "package_size_id")
+    m = GBTRegressor(featuresCol="features", labelCol="label", maxIter=15, maxDepth=5, maxBins=64, seed=42).fit(x.filter("fold <> 0"))
+    rows = M.permutation_importance(raw.filter("fold = 0"), [*CATS, *NUMS], ["order_id", "package_size_id"],
+                                    lambda d: m.transform(pipe.transform(d)))
+    return spark.createDataFrame(rows, "feature string, delta_rmse double")
+
+
+@register("tree_search_halving", "K7+K8")
+def tree_search_halving(spark, sf):
+    """Seeded search over tree parameters by successive halving: eight settings on one fold, the better half on two,
+    the better half of these on four."""
+    x, _ = _tracking_features(spark, sf)
+    draws = M.random_param_maps({"maxDepth": [2, 3, 4, 5], "stepSize": [0.05, 0.1, 0.3], "maxIter": [5, 10], "subsamplingRate": [0.7, 1.0]}, 8, seed=7)
+    x = x.select("features", "label", "fold").cache()
+    rows = M.successive_halving(x, draws, lambda t, d: GBTRegressor(featuresCol="features", labelCol="label", seed=42, **d).fit(t),
+                                lambda m, t: M.regression_report(m.transform(t)).first()["rmse"])
+    x.unpersist()
+    best = min(r for r in rows if r[0] == rows[-1][0] and r[3] == min(q[3] for q in rows if q[0] == rows[-1][0]))[1]
+    shown = [(rung, *[float(draws[i][k]) for k in ("maxDepth", "stepSize", "maxIter", "subsamplingRate")], used, e, i == best)
+             for rung, i, used, e in rows]
+    return spark.createDataFrame(shown, "rung int, maxDepth double, stepSize double, maxIter double, subsamplingRate double, folds int, rmse double, chosen boolean")
+
+
+@register("bisecting_cut_sweep", "K18")
+def bisecting_cut_sweep(spark, sf):
+    """The bisecting tree over the embeddings cut at 1 to 10 clusters: how many come out and their summed squared error."""
+    x = _embedding_vectors(spark, sf).cache()
+    rows = []
+    for t in range(1, 11):
+        pred = BisectingKMeans(k=t, seed=42, featuresCol="features").fit(x).transform(x) if t > 1 else x.withColumn("prediction", F.lit(0))
+        n, sse = cluster_sse(pred.select(F.col("prediction").alias("c"), vector_to_array("features").alias("v")), "c", "v").agg(
+            F.count(F.lit(1)), F.sum("sse")).first()
+        rows.append((t, int(n), float(sse)))
+    x.unpersist()
+    return spark.createDataFrame(rows, "t int, clusters int, intra_sse double")
+
+
+@register("label_intra_sse", "K18", sql="""
+WITH e AS (SELECT label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT label, i, v[i] AS x FROM (SELECT label, v, unnest(range(1, len(v) + 1)) AS i FROM e)),
+c AS (SELECT label, i, COUNT(*) AS n, AVG(x) AS m, SUM(x * x) AS q FROM x GROUP BY label, i)
+SELECT label, MAX(n) AS n, round(SUM(q - n * m * m), 4) AS sse FROM c GROUP BY label""")
+def label_intra_sse(spark, sf):
+    """The squared error within given labels that the cut sweep uses for its clusters."""
+    e = Tables(spark, sf).embeddings
+    return cluster_sse(e, "label", "embedding").select("label", "n", F.round("sse", 4).alias("sse"))
 
 
 @register("feature_importance", "K23")
@@ -270,15 +329,22 @@ def recursive_forecast(spark, sf):
 
 @register("lookback_window_comparison", "K25")
 def lookback_window_comparison(spark, sf):
+    """The survey's lookbacks, as many as the series are long enough for: each family's last values up to the lookback, in
+    one array from one window, are the features."""
+    ensure_checkpoint_dir(spark)
+    fam = family_daily(demand(Tables(spark, sf)))
+    w = Window.partitionBy("family_id").orderBy("date")
+    back = F.row_number().over(Window.partitionBy("family_id").orderBy(F.desc("date")))
+    x = fam.select("family_id", "date", "qtt", back.alias("back"), F.collect_list("qtt").over(w.rowsBetween(-LOOKBACKS[-1], -1)).alias("past")).filter(
+        F.size("past") == LOOKBACKS[-1]).checkpoint()  # the same rows for every lookback
     rows = []
-    for lags in (7, 14, 28):
-        x = _lag_frame(spark, sf, lags)
-        feats = [f"lag_{k}" for k in range(1, lags + 1)] + ["weekday", "month"]
-        asm = VectorAssembler(inputCols=feats, outputCol="features")
-        train, test = asm.transform(x.filter("back > 28")), asm.transform(x.filter("back <= 28"))
-        m = GBTRegressor(featuresCol="features", labelCol="qtt", maxIter=15, maxDepth=4, seed=42).fit(train)
-        mae = m.transform(test).agg(F.avg(F.abs(F.col("qtt") - F.col("prediction")))).first()[0]
-        rows.append((lags, float(mae)))
+    for lags in LOOKBACKS:
+        seen = F.slice("past", LOOKBACKS[-1] - lags + 1, lags)
+        f = x.select("qtt", "back", array_to_vector(F.concat(seen, F.array(
+            F.weekday("date").cast("double"), F.month("date").cast("double")))).alias("features"))
+        m = GBTRegressor(featuresCol="features", labelCol="qtt", maxIter=10, maxDepth=4, seed=42).fit(f.filter("back > 28"))
+        mae = m.transform(f.filter("back <= 28")).agg(F.avg(F.abs(F.col("qtt") - F.col("prediction")))).first()[0]
+        rows.append((lags, float(mae) if mae is not None else None))
     return spark.createDataFrame(rows, "lookback int, mae double")
 
 

@@ -34,6 +34,8 @@ def with_views(sql: str) -> str:
     body = sql.strip()
     if not ctes:
         return body
+    if body.lower().startswith("with recursive "):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body.lower().startswith("with "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -231,6 +231,50 @@ def change_point_gain(spark, sf):
     return S.change_gain(family_daily(spark, sf), "family_id", "date", "qtt", 30)
 
 
+@register("partial_autocorrelation", "J11", sql="WITH RECURSIVE " + FAMILY_DAILY_SQL.strip()[5:] + """,
+s AS (SELECT family_id, AVG(qtt) AS mu FROM fam GROUP BY family_id),
+d AS (SELECT f.family_id, f.date, f.qtt - s.mu AS dx FROM fam f JOIN s ON f.family_id = s.family_id),
+l AS (SELECT family_id, dx, """ + ", ".join(
+    f"lag(dx, {k}) OVER (PARTITION BY family_id ORDER BY date) AS l{k}" for k in range(1, 8)) + """ FROM d),
+r AS (SELECT family_id, [""" + ", ".join(f"SUM(dx * l{k}) / SUM(dx * dx)" for k in range(1, 8)) + """] AS r FROM l GROUP BY family_id),
+levinson AS (
+  SELECT family_id, r, 1 AS k, [r[1]] AS phi, r[1] AS a FROM r
+  UNION ALL
+  SELECT family_id, r, k + 1, list_transform(phi, lambda x, i: x - na * phi[k + 1 - i]) || [na], na
+  FROM (SELECT *, (r[k + 1] - list_sum(list_transform(phi, lambda x, i: x * r[k + 1 - i])))
+                  / (1 - list_sum(list_transform(phi, lambda x, i: x * r[i]))) AS na FROM levinson WHERE k < 7))
+SELECT family_id, CAST(k AS BIGINT) AS k, round(a, 6) AS pacf FROM levinson""")
+def partial_autocorrelation(spark, sf):
+    return S.pacf(family_daily(spark, sf), "family_id", "date", "qtt", 7)
+
+
+@register("change_points", "J12", sql=FAMILY_DAILY_SQL + """,
+w AS (SELECT family_id, date,
+        SUM(qtt) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS sl,
+        SUM(qtt * qtt) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS ql,
+        COUNT(*) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS nl,
+        SUM(qtt) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS sr,
+        SUM(qtt * qtt) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS qr,
+        COUNT(*) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS nr
+      FROM fam),
+g AS (SELECT family_id, date,
+  round(((ql + qr) - (sl + sr) * (sl + sr) / 60.0) - (ql - sl * sl / 30.0) - (qr - sr * sr / 30.0), 4) AS gain
+  FROM w WHERE nl = 30 AND nr = 30),
+t AS (SELECT *, MAX(gain) OVER (PARTITION BY family_id ORDER BY date ROWS BETWEEN 30 PRECEDING AND 30 FOLLOWING) AS top FROM g),
+p AS (SELECT family_id, 1.0 * var_samp(qtt) * ln(CAST(COUNT(*) AS DOUBLE)) AS penalty FROM fam GROUP BY family_id)
+SELECT t.family_id, t.date, t.gain, round(p.penalty, 4) AS penalty FROM t JOIN p USING (family_id)
+WHERE gain = top AND gain > penalty""")
+def change_points(spark, sf):
+    """Peaks of the sliding gain over a penalty."""
+    return S.change_points(family_daily(spark, sf), "family_id", "date", "qtt", 30, weight=1.0)
+
+
+@register("segment_breaks", "J12")
+def segment_breaks(spark, sf):
+    """Breakpoints of the penalised segmentation of every family's series (tested on planted breaks)."""
+    return S.segment_breaks(family_daily(spark, sf), "family_id", "date", "qtt")
+
+
 @register("adf_stationarity", "J10")
 def adf_stationarity(spark, sf):
     return S.adf_by_series(family_daily(spark, sf), "family_id", "date", "qtt", lags=1)

@@ -11,7 +11,7 @@ from mercato.functions.text import (
 )
 from mercato.operators import textops as X
 from mercato.plans.aggregation import CATALOG_VALUES
-from mercato.operators.ranges import quantile_scalars
+from mercato.operators.ranges import join_groups, quantile_scalars
 from mercato.plans.registry import register
 from mercato.sources.tables import Tables, tracking
 
@@ -202,6 +202,27 @@ def token_corpus_stats(spark, sf):
         F.min_by("tok", F.struct(-F.col("n"), F.col("tok"))).alias("top_token"), F.max("n").alias("top_freq"))
 
 
+@register("token_top20", "E32", sql=f"""
+WITH t AS (SELECT lang, unnest({_WORDS_SQL}) AS tok FROM documents),
+c AS (SELECT lang, tok, COUNT(*) AS n FROM t GROUP BY lang, tok),
+r AS (SELECT *, SUM(n) OVER (PARTITION BY lang) AS total, COUNT(*) OVER (PARTITION BY lang) AS n_unique,
+             row_number() OVER (PARTITION BY lang ORDER BY n DESC, tok) AS place FROM c)
+SELECT lang, CAST(place AS INTEGER) AS place, tok AS token, n, round(100.0 * n / total, 4) AS share_pct, n_unique FROM r WHERE place <= 20""")
+def token_top20(spark, sf):
+    """The 20 most frequent tokens of each language with their share.  Each of several hash parts of a language keeps its
+    own 20 first, so that no task ranks a whole vocabulary."""
+    d = Tables(spark, sf).documents
+    c = d.select("lang", F.explode(X.words(F.col("text"))).alias("tok")).groupBy("lang", "tok").agg(F.count(F.lit(1)).alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = [F.desc("n"), "tok"]
+    part = c.withColumn("_p", F.pmod(F.xxhash64("tok"), F.lit(parts)))
+    few = part.withColumn("_i", F.row_number().over(Window.partitionBy("lang", "_p").orderBy(*first))).filter("_i <= 20")
+    top = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*first))).filter("place <= 20")
+    total = c.groupBy("lang").agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("n_unique"))
+    return join_groups(top.select("lang", "place", F.col("tok").alias("token"), "n"), total, ["lang"]).select(
+        "lang", "place", "token", "n", F.round(100.0 * F.col("n") / F.col("_total"), 4).alias("share_pct"), "n_unique")
+
+
 @register("near_duplicate_documents", "G9")
 def near_duplicate_documents(spark, sf):
     from mercato.operators.neardup import near_duplicates
