@@ -2,10 +2,10 @@
 
 Signatures are ``min(xxhash64(shingle, seed))`` aggregates (JVM-side, map-side
 combined).  Instead of emitting every pair inside an LSH bucket, each member is
-linked to the bucket's smallest id (its representative): output grows linearly
-with bucket size even for a bucket holding a third of the corpus.  Every link is
+linked to the bucket's smallest id (its representative), which is linear in the bucket's size.  Every link is
 then verified with the exact Jaccard similarity of the two shingle sets; members that this
-leaves without a link are compared with every earlier member of their buckets.
+leaves without a link are compared with every earlier member of their buckets, so a bucket of many texts that are
+not alike costs a number of comparisons that grows with its square (``similarity`` groups them without pairs).
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.operators.similarity import saved
 from mercato.operators.textops import ngrams
 
 
@@ -31,12 +32,14 @@ def minhash_signatures(sh: DataFrame, key: str, n_hashes: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, key: str, text: str, shingle: int = 5, bands: int = 16, rows: int = 4,
                     threshold: float = 0.7) -> DataFrame:
-    sh = shingle_sets(df, key, text, shingle)
+    # written once: every later step reads the fingerprints and signatures, not the texts
+    sh = saved(shingle_sets(df, key, text, shingle), "shingles")
     sig = minhash_signatures(sh, key, bands * rows)
     band_keys = F.array(*[F.struct(F.lit(b).alias("band"),
                                    F.xxhash64(*[F.col(f"h{b * rows + r}") for r in range(rows)]).alias("bucket"))
                           for b in range(bands)])
-    bk = sig.select(key, F.inline(band_keys))
+    sig = saved(sig.select(key, "n_sh", band_keys.alias("_bands")), "signatures")
+    bk = sig.select(key, F.inline("_bands"))
     rep = bk.groupBy("band", "bucket").agg(F.min(key).alias("rep"), F.count(F.lit(1)).alias("members"))
     cand = (bk.join(rep.filter("members > 1"), ["band", "bucket"])
             .filter(F.col(key) != F.col("rep")).select(key, "rep").distinct())

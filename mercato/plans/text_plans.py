@@ -242,23 +242,20 @@ def conversation_dedup(spark, sf):
 
 
 @register("exact_jaccard_blocks", "G9", sql=r"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS gram
       FROM w, LATERAL (SELECT unnest(range(0, greatest(len(w) - 4, 1))) AS i) WHERE len(w) > 0),
 sh AS (SELECT DISTINCT doc_id, gram FROM g),
-rep AS (SELECT gram, MIN(doc_id) AS rep FROM sh GROUP BY gram),
-x AS (SELECT a.doc_id, p.rep FROM sh a JOIN rep p USING (gram) WHERE p.rep < a.doc_id GROUP BY ALL),
-c AS (SELECT x.doc_id, x.rep, COUNT(*) AS inter FROM x JOIN sh a ON a.doc_id = x.doc_id
-      JOIN sh b ON b.doc_id = x.rep AND b.gram = a.gram GROUP BY ALL),
-n AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY doc_id)
-SELECT c.doc_id, c.rep, round(inter / (na.n + nb.n - inter), 6) AS jaccard
-FROM c JOIN n na ON na.doc_id = c.doc_id JOIN n nb ON nb.doc_id = c.rep
-WHERE inter / (na.n + nb.n - inter) >= 0.7""")
+n AS (SELECT doc_id, COUNT(*) AS n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS digest FROM sh GROUP BY doc_id),
+c AS (SELECT doc_id, MIN(doc_id) OVER (PARTITION BY n, digest) AS class_id, n FROM n),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS common FROM sh a JOIN sh b USING (gram) GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+          WHERE 100 * common >= 70 * (nx.n + ny.n - common)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, COALESCE(c.class_id, d.doc_id) AS class_id, COALESCE(m.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN (SELECT x AS doc_id, MIN(y) AS component_id FROM reach GROUP BY x) m USING (doc_id)""")
 def exact_jaccard_blocks(spark, sf):
-    """Documents whose exact Jaccard similarity (5-word shingles) with an earlier one is at least 0.7, each with at
-    least one such: the smallest ids of its shingles, or, if none of them is alike, all earlier ones by an exact
-    prefix filter.  (The SQL knows the smallest ids only.)"""
-    from mercato.operators.neardup import exact_links
-    docs = Tables(spark, sf).documents.select("doc_id", "text")
-    sh = X.ngrams(docs, "doc_id", "text", 5, short=True).select("doc_id", F.xxhash64("gram").alias("gram")).distinct()
-    return exact_links(sh, "doc_id", 70).select("doc_id", "rep", F.round("jaccard", 6).alias("jaccard"))
+    """Every document's class (smallest id with the same 5-word shingles) and component (smallest id reachable over links of
+    exact Jaccard similarity of at least 0.7, all pairs considered)."""
+    from mercato.operators.similarity import similar_groups
+    return similar_groups(Tables(spark, sf).documents, "doc_id", "text", 5, 70)

@@ -29,3 +29,47 @@ def test_every_document_with_an_earlier_copy_is_linked(spark):
                 neardup.near_duplicates(df, "doc_id", "text")):
         pairs = {(r["doc_id"], r["rep"]) for r in got.collect()}
         assert pairs <= want and {i for i, _ in pairs} == {i for i, _ in want} >= {3, 4, 7, 9}
+
+
+def _components(rows, sets, percent):
+    up = {i: i for i, _ in rows}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if j < i and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                up[max(a, b)] = min(a, b)
+    return {i: find(i) for i, _ in rows}
+
+
+def test_exact_groups_match_all_pairs(spark):
+    import random
+
+    from mercato.operators.similarity import similar_groups
+    r = random.Random(8)
+    rows = list(_docs(spark)[0]) + [(10, None), (11, ""), (12, " \n"), (13, "b a")]
+    base = [[f"v{r.randint(0, 400)}" for _ in range(r.randint(20, 90))] for _ in range(12)]
+    common = [f"c{i}" for i in range(30)]  # a passage that many unlike documents share
+    for i in range(100, 260):
+        w = list(r.choice(base))
+        for _ in range(r.randint(0, 6)):
+            w[r.randrange(len(w))] = f"x{r.randint(0, 50)}"
+        if r.random() < 0.5:
+            w = w[: r.randint(5, len(w))] + common
+        rows.append((i, " ".join(w)))
+    sets = {}
+    for i, t in rows:
+        w = (t or "").split()
+        sets[i] = {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for percent in (50, 70, 90):
+        want = _components(rows, sets, percent)
+        got = {x["doc_id"]: x for x in similar_groups(df, "doc_id", "text", 5, percent).collect()}
+        assert {i: x["component_id"] for i, x in got.items()} == want
+        assert all(x["class_id"] == min(j for j in sets if sets[j] == sets[i]) if sets[i] else x["class_id"] == i for i, x in got.items())
+    assert similar_groups(df.filter("false"), "doc_id", "text").count() == 0
