@@ -57,7 +57,7 @@ def register(key: str, survey_id: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     """Import every plan module so their decorators run."""
     from mercato.plans import (  # noqa: F401
-        aggregation, cleaning, joins, ml_jobs, scans, series, setops, sinks_plans, statistics,
+        aggregation, cleaning, joins, landing, ml_jobs, scans, series, setops, sinks_plans, statistics,
         streaming_plans, text_plans, web,
     )
     return REGISTRY
