@@ -76,6 +76,19 @@ def size_taxonomy(spark, sf):
             .select("size_title", size_class(F.col("size_title")).alias("size_class"), "n"))
 
 
+@register("size_taxonomy_all", "H7", sql="""
+SELECT p_partkey, CASE p_partkey % 11 WHEN 0 THEN 'footwear' WHEN 1 THEN 'clothing' WHEN 2 THEN 'kids' WHEN 3 THEN 'jeans' WHEN 4 THEN 'weight'
+  WHEN 5 THEN 'volume' WHEN 6 THEN 'jewellery' WHEN 7 THEN 'cup' WHEN 8 THEN 'none' WHEN 9 THEN 'clothing' ELSE 'other' END AS size_class FROM part""")
+def size_taxonomy_all(spark, sf):
+    """Sizes of every class, made from the products' sizes; the statement states the class that each form has."""
+    n, size = F.col("p_partkey") % 11, F.col("p_size").cast("string")
+    forms = [size, F.lit("M"), F.concat(size, F.lit(" anos")), F.concat(F.lit("W"), (F.col("p_size") % 40 + 20).cast("string")), F.concat(size, F.lit(" kg")),
+             F.concat(size, F.lit(" x 20 cm")), F.concat(size, F.lit(" mm")), F.concat((F.col("p_size") % 30 + 70).cast("string"), F.lit("D")),
+             F.lit("no_size"), F.lit("One Size"), F.lit("unknown thing")]
+    title = F.get(F.array(*forms), n.cast("int"))
+    return Tables(spark, sf).part.select("p_partkey", title.alias("t")).select("p_partkey", size_class(F.col("t")).alias("size_class"))
+
+
 @register("date_format_parse", "H13", sql="""
 SELECT strftime(ts, '%Y-%m-%d') AS day_label,
        CAST(date_trunc('month', CAST(strptime(strftime(ts, '%Y-%m-%d'), '%Y-%m-%d') AS DATE)) AS DATE) AS month,

@@ -44,6 +44,26 @@ def search_api_params_q(spark, sf):
     return search_api_params(Tables(spark, sf).pages, "page_id", "url")
 
 
+@register("search_params_mapped", "H9", sql="""
+WITH p AS (SELECT p_partkey AS page_id, p_size, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM part)
+SELECT page_id, 'catalog_ids' AS param, p_size || ',' || (p_size + 1) AS value FROM p
+UNION ALL SELECT page_id, 'search_text', a || '+' || b FROM p
+UNION ALL SELECT page_id, 'status_ids', CAST(page_id % 5 AS VARCHAR) FROM p
+UNION ALL SELECT page_id, 'order', 'newest first' FROM p
+UNION ALL SELECT page_id, 'is_for_swap', '1' FROM p WHERE page_id % 2 = 0
+UNION ALL SELECT page_id, 'page', '1' FROM p
+UNION ALL SELECT page_id, 'per_page', '20' FROM p""")
+def search_params_mapped(spark, sf):
+    """Search urls made from the products, with repeated, encoded, empty and unknown parameters."""
+    p = Tables(spark, sf).part
+    size = F.col("p_size")
+    url = F.concat(F.lit("https://shop.example/catalog?catalog_ids[]="), size.cast("string"), F.lit("&utm=x&catalog_ids[]="), (size + 1).cast("string"),
+                   F.lit("&search_text="), F.substring_index("p_name", " ", 1), F.lit("&search_text="), F.element_at(F.split("p_name", " "), 2),
+                   F.lit("&brand_ids[]=&order=newest%20first&status%5B%5D="), (F.col("p_partkey") % 5).cast("string"),
+                   F.when(F.col("p_partkey") % 2 == 0, "&disposal[]=7#top").otherwise(""))
+    return search_api_params(p.select(F.col("p_partkey").alias("page_id"), url.alias("url")), "page_id", "url")
+
+
 @register("url_path_segments", "H11", sql=r"""
 WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+(/[^?#]*)?', 1) AS path FROM pages)
 SELECT page_id, path, string_split(path, '/')[2] AS section, string_split(path, '/')[3] AS item,
