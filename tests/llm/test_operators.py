@@ -606,3 +606,28 @@ def test_sharding(spark, make, docs, rows):
     few = shared_folder(spark, "test-shards")
     sharding.write_shards(make(rows[:3]), few)
     assert sorted(r["slot"] for r in sharding.digests(docs, few).collect()) == [0, 0, 0]
+
+
+# -- null ids ---------------------------------------------------------------------------------------------------
+
+def test_null_ids_of_fingerprints_token_files_and_shards(spark, make, prose, encode):
+    a, b = prose(1, 80), prose(2, 30)
+    rows = [(None, a, "s"), (5, b, "s"), (None, None, "s"), (2, "", "s")]
+    docs = make(rows)
+    folder = shared_folder(spark, "test-ids")
+    token_files.write_ids(docs, folder, files=2)
+    start = 0
+    for r in sorted(token_files.digests(spark, folder).collect(), key=lambda r: r["start"]):
+        assert r["start"] == start
+        start += r["n_tokens"]
+    want = sorted((repr(i), zlib.crc32(encode(t) + (2).to_bytes(4, "little"))) for i, t, _ in rows)
+    got = token_files.digests(spark, folder).collect()
+    assert sorted((repr(r["doc_id"]), r["ids_crc32"]) for r in got) == want
+    assert {r["doc_id"] for r in got if r["start"] < sum(x["n_tokens"] for x in got if x["doc_id"] is None)} == {None}
+    folder = shared_folder(spark, "test-shards")
+    sharding.write_shards(docs, folder)
+    assert sorted((repr(r["doc_id"]), r["text_crc32"]) for r in sharding.digests(docs, folder).collect()) == sorted(
+        (repr(i), zlib.crc32((t or "").encode())) for i, t, _ in rows)
+    got = fingerprints.compare_edited(docs).collect()
+    assert sorted((repr(r["doc_id"]), r["n_chars"]) for r in got) == sorted((repr(i), len(t or "")) for i, t, _ in rows)
+    assert fingerprints.compare_edited(docs.limit(0)).count() == 0
