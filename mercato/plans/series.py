@@ -125,11 +125,11 @@ def demand_classes(spark, sf):
 
 
 @register("demand_classes_all", "H19", sql="""
-WITH day AS (SELECT tipo, date, SUM(qtt) AS qtt FROM demand GROUP BY tipo, date),
-pd AS (SELECT tipo || ' daily' AS k, date, qtt FROM day
-       UNION ALL SELECT tipo || ' weekdays', date, 1.0 FROM day WHERE isodow(date) <= 5
-       UNION ALL SELECT tipo || ' peaks', date, CASE WHEN day(date) = 1 THEN 50 * qtt ELSE qtt END FROM day
-       UNION ALL SELECT tipo || ' monthly', date, qtt FROM day WHERE day(date) = 1),
+WITH day AS (SELECT date, SUM(qtt) AS qtt FROM demand GROUP BY date),
+pd AS (SELECT 'daily' AS k, date, qtt FROM day
+       UNION ALL SELECT 'weekdays', date, 1.0 FROM day WHERE isodow(date) <= 5
+       UNION ALL SELECT 'peaks', date, CASE WHEN day(date) = 1 THEN 50 * qtt ELSE qtt END FROM day
+       UNION ALL SELECT 'monthly', date, qtt FROM day WHERE day(date) = 1),
 g AS (SELECT *, date - lag(date) OVER (PARTITION BY k ORDER BY date) AS gap FROM pd WHERE qtt <> 0),
 span AS (SELECT CAST(MAX(date) - MIN(date) + 1 AS DOUBLE) AS n FROM pd),
 st AS (SELECT k, AVG(gap) AS adi, SUM(qtt) / ANY_VALUE(n) AS mean,
@@ -139,12 +139,12 @@ SELECT k, round(adi, 6) AS adi, round(var / (mean * mean), 6) AS cv2,
        WHEN adi >= 1.32 AND var / (mean * mean) < 0.49 THEN 'Intermittent demand'
        WHEN adi < 1.32 THEN 'Erratic demand' ELSE 'Lumpy demand' END AS demand_class FROM st""")
 def demand_classes_all(spark, sf):
-    """Series of every class, derived from the daily demand by client type: as it is, weekdays only, with peaks, monthly."""
-    day = demand(Tables(spark, sf)).groupBy("tipo", "date").agg(F.sum("qtt").alias("qtt"))
+    """Series of every class, derived from the daily demand: as it is, one unit on weekdays, with peaks, monthly."""
+    day = demand(Tables(spark, sf)).groupBy("date").agg(F.sum("qtt").alias("qtt"))
     first = F.dayofmonth("date") == 1
     kinds = [("daily", F.col("qtt")), ("weekdays", F.when(F.weekday("date") < 5, 1.0)), ("peaks", F.when(first, 50 * F.col("qtt")).otherwise(F.col("qtt"))),
              ("monthly", F.when(first, F.col("qtt")))]
-    rows = day.select("date", F.inline(F.array(*[F.struct(F.concat_ws(" ", "tipo", F.lit(n)).alias("k"), q.cast("double").alias("qtt")) for n, q in kinds]))).filter("qtt is not null")
+    rows = day.select("date", F.inline(F.array(*[F.struct(F.lit(n).alias("k"), q.cast("double").alias("qtt")) for n, q in kinds]))).filter("qtt is not null")
     return S.demand_classes(rows, "k", "date", "qtt").drop("adi_zero")
 
 
