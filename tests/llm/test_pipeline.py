@@ -5,7 +5,7 @@ import re
 
 import corpus_pipeline
 from mercato.llm import packing, quality
-from mercato.llm.common import table
+from mercato.llm.common import shared_folder, table
 from mercato.llm.tokens import Encoder, default_path
 from test_operators import base_spans, brute_groups
 
@@ -38,3 +38,26 @@ def test_stages(spark):
     for r in packed:
         fills[r["sequence_id"]] += r["length"]
     assert max(fills.values()) <= packing.CAPACITY
+
+
+def test_odd_rows_pass_through_every_stage(spark, make, prose):
+    """Null ids and texts, ids that repeat with other texts and repeated rows: no text is lost but to a rule or a copy."""
+    texts = [prose(i, 120) for i in range(8)]
+    rows = [(i, t, f"s{i % 2}") for i, t in enumerate(texts)]
+    rows += [(3, texts[0], "s0"), (3, texts[5], "s1"), (9, texts[1], None), (None, texts[2], "s0"), (None, None, None), (10, "", "s1"), (4, texts[4], "s0")]
+    docs, seen = make(rows, extra=False), None
+    for name, stage in corpus_pipeline.STAGES:
+        path = shared_folder(spark, f"test-{name}")
+        out = stage(spark, docs, "")
+        out.write.parquet(path)
+        before, docs = docs, spark.read.schema(out.schema).parquet(path)
+        if name != "packing":
+            assert docs.columns == before.columns
+        if name == "quality":
+            seen = {r["text"] for r in docs.collect()}
+            assert set(texts) <= seen
+        if name == "near_duplicates":
+            kept = [(r["doc_id"], r["text"]) for r in docs.collect()]
+            assert {t for _, t in kept} == seen
+            assert sorted(i for i, t in kept if t in texts and i is not None and (i, t) != (4, texts[4])) == [0, 1, 2, 3, 3, 6, 7]
+    assert docs.filter("length <= 0 or length > 2048").count() == 0
