@@ -8,7 +8,7 @@ that still hold several components then compare the members of different compone
 sets.  So no link between different sets is lost, and a large group of alike sets costs a number of comparisons that
 grows with its size, not its square.
 
-Shingles are shuffled once, by shingle; those of one class only go no further.  Every intermediate is written to the
+Shingles are shuffled by shingle, to count them and to join the counts; those of one class only go no further.  Every intermediate is written to the
 checkpoint folder, so that it is computed once and survives a lost executor.
 """
 
@@ -74,7 +74,7 @@ def similar_groups(df: DataFrame, key: str, text: str, k: int = 5, percent: int
     rows = saved(sets.select("id", F.size("sh").alias("n"), F.xxhash64("sh").alias("h1"), F.xxhash64(F.lit(7), "sh").alias("h2")), "rows")
     classes = saved(rows.filter("n > 0 and id is not null").groupBy(*known).agg(F.min("id").alias("class_id")), "classes")
     own = classes.select(F.col("class_id").alias("id"), "n")
-    # one shuffle by shingle serves the count and the join with it
+    # dealt by shingle for the count and for the join with it
     grams = shingle_arrays(source.join(own.select("id"), "id", "left_semi").dropDuplicates(["id"]), "id", text, k).select(
         "id", F.explode("sh").alias("gram")).repartition("gram")
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
