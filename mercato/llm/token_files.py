@@ -86,7 +86,7 @@ def _checksum(batches):
         ids = b.column("ids")
         values = np.asarray(ids.values, dtype="<i4") if len(ids) else np.empty(0, "<i4")
         offsets = np.asarray(ids.offsets) if len(ids) else [0]
-        crc = [zlib.crc32(values[offsets[i] : offsets[i + 1]].tobytes()) for i in range(len(ids))]
+        crc = [zlib.crc32(values[offsets[i] : offsets[i + 1]]) for i in range(len(ids))]
         n = [int(offsets[i + 1] - offsets[i]) for i in range(len(ids))]
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), b.column("place"), b.column("file"), pa.array(n, pa.int64()), pa.array(crc, pa.int64())],

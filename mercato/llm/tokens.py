@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
-
-import numpy as np
+from itertools import compress
+from operator import not_
 
 #: Pre-token boundaries of the byte-level BPE, for texts of plain characters only.
 _WORDS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ɏ0-9]+|\s+(?!\S)|\s+")
@@ -27,15 +29,12 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Memory(dict):
-    """Ids of remembered pre-tokens; a lookup notes those that are not."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.missed: list[str] = []
-
-    def __missing__(self, word: str) -> None:
-        self.missed.append(word)
+def _bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids (``array`` takes a short list in half of numpy's time)."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 class Encoder:
@@ -51,12 +50,11 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known = _Memory()
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The library's ids of each string, encoded whole."""
-        return [np.asarray(x.ids, dtype="<u4").tobytes()
-                for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [_bytes(x.ids) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def batch(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text (null: none)."""
@@ -76,9 +74,11 @@ class Encoder:
             if _OTHER.search(t):
                 looked.append((None, []))
                 continue
-            known.missed = []
-            looked.append((list(map(known.__getitem__, _WORDS.findall(t))), known.missed))
-            waiting.update(known.missed)
+            words = _WORDS.findall(t)
+            ids = list(map(known.get, words))
+            missed = list(compress(words, map(not_, ids)))  # no pre-token is without ids
+            looked.append((ids, missed))
+            waiting.update(missed)
         new, found = list(waiting), {}
         for i in range(0, len(new), 20_000):
             found.update(zip(new[i : i + 20_000], self.encode(new[i : i + 20_000])))
