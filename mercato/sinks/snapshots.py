@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from mercato.operators.ranges import in_ranges
 from mercato.operators.relational import latest_per_key
+from mercato.session import ensure_checkpoint_dir
 
 PART = "snap_part"
 
@@ -105,8 +106,8 @@ class SnapshotTable:
     def upsert(self, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]) -> None:
         """The latest row per key by ``order``, of the table and ``incoming``; nulls are values of a key like others.
 
-        Only partitions that ``incoming`` touches or that hold one of its keys are rewritten.  The latter
-        are found by a read of the key columns alone."""
+        Only rows that are newer than the table's count, and only partitions that these touch or that hold one of their keys
+        are rewritten; a replay moves nothing but keys.  Both are found by a read of the keys, the order and a digest."""
         old = self._manifest()
         if old["schema"] is None:
             self.replace(latest_per_key(incoming, keys, order))
@@ -116,12 +117,28 @@ class SnapshotTable:
         clash = sorted(c for c, t in incoming.dtypes if kinds.get(c, t) != t)
         if clash:
             raise ValueError(f"columns change their type: {', '.join(clash)}")
-        wanted = incoming.select(*[F.col(k).alias(f"_in{i}") for i, k in enumerate(keys)]).distinct()
+        ensure_checkpoint_dir(self.spark)
+        columns, top = incoming.columns, F.lit(None).cast("int")
+        if set(order) <= set(columns) & set(before.columns):
+            top = F.struct(*order)
+        whole = F.lit(None).cast("bigint")  # unknown where rows cannot be compared
+        if set(columns) == set(before.columns) and not any("map<" in t for t in kinds.values()):
+            whole = F.xxhash64(*before.columns, F.array(*[F.col(c).isNull() for c in before.columns]))
+        # rows of the load are reduced, and written, once
+        incoming = latest_per_key(incoming, keys, order).select(*columns).withColumns({"_in": top, "_row": whole}).checkpoint()
+        known = before.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], self._digest().alias("_part"),
+                              top.alias("_top"), whole.alias("_whole"))
         same = F.lit(True)
         for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"_in{i}"))
-        moved = before.withColumn(PART, self._digest()).select(PART, *keys).join(wanted, same, "left_semi").select(PART)
-        touched = {r[0] for r in incoming.select(self._digest().alias(PART)).union(moved).distinct().collect()}
+            same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        # what the table has already, or has newer, changes nothing
+        stale = F.coalesce((F.col("_in") < F.col("_top")) | ((F.col("_in") == F.col("_top")) & (F.col("_row") == F.col("_whole"))), F.lit(False))
+        new = incoming.join(known, same, "left").filter(~stale).withColumn(PART, self._digest()).select(*columns, PART, "_part").checkpoint()
+        touched = {r[0] for r in new.select(PART).union(new.filter("_part is not null").select("_part")).distinct().collect()}
+        incoming = new.select(*columns)
+        if not touched:
+            self._commit(before.schema, old["parts"])
+            return
         merged = latest_per_key(self._rows(old, touched).unionByName(incoming, allowMissingColumns=True), keys, order)
         merged = merged.select(*before.columns, *[c for c in incoming.columns if c not in before.columns])
         parts = [p for p in old["parts"] if p[0] not in touched]

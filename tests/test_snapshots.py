@@ -103,3 +103,16 @@ def test_surrogate_keys_are_dense_and_stable(spark):
         again = {r["color"]: r["color_key"] for r in more.collect()}
         assert again == keys | {"a": 41, "c05x": 42} and more.count() == 42
     assert surrogate_keys(first.filter(F.lit(False)), "color", tempfile.mkdtemp(prefix="keys-")).count() == 0
+
+
+def test_replay_and_older_rows_move_nothing(spark):
+    table = SnapshotTable(spark, tempfile.mkdtemp(prefix="snap-"), "part")
+    table.upsert(spark.createDataFrame(ODD, SCHEMA), ["id"], ["v"])
+    table.upsert(spark.createDataFrame(MOVES, SCHEMA), ["id"], ["v"])
+    held = table._manifest()["parts"]
+    older = spark.createDataFrame([(i, "old", 0) for i, _, _ in ODD], SCHEMA)
+    for load in (spark.createDataFrame(MOVES, SCHEMA), older):
+        table.upsert(load, ["id"], ["v"])
+        assert table._manifest()["parts"] == held and rows(table.read()) == image(ODD, MOVES)
+    table.upsert(older.unionByName(spark.createDataFrame([(7, None, 9)], SCHEMA)), ["id"], ["v"])
+    assert rows(table.read()) == image(ODD, MOVES, [(7, None, 9)])
