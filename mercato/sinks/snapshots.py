@@ -24,6 +24,15 @@ from mercato.session import ensure_checkpoint_dir
 PART = "snap_part"
 
 
+def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` whose rows move with their order columns once, not twice; of rows equal in these, the largest."""
+    first = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not first + rest or any("map<" in t for _, t in df.dtypes):  # maps have no order
+        return latest_per_key(df, keys, order)
+    return df.groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
+
+
 class SnapshotTable:
     """A parquet table at ``path`` (shared storage), partitioned by one column or not at all."""
 
@@ -68,8 +77,8 @@ class SnapshotTable:
 
     # -- data
 
-    def _digest(self) -> Column:
-        value = F.col(self.partition_col).cast("string") if self.partition_col else F.lit(None)
+    def _digest(self, col: str | None = None) -> Column:
+        value = F.col(col or self.partition_col).cast("string") if self.partition_col else F.lit(None)
         return F.coalesce(F.md5(value), F.lit("null"))
 
     def _stage(self, df: DataFrame) -> list:
@@ -110,7 +119,7 @@ class SnapshotTable:
         are rewritten; a replay moves nothing but keys.  Both are found by a read of the keys, the order and a digest."""
         old = self._manifest()
         if old["schema"] is None:
-            self.replace(latest_per_key(incoming, keys, order))
+            self.replace(newest(incoming, keys, order))
             return
         before = self._rows(old)
         kinds = dict(before.dtypes)
@@ -118,28 +127,32 @@ class SnapshotTable:
         if clash:
             raise ValueError(f"columns change their type: {', '.join(clash)}")
         ensure_checkpoint_dir(self.spark)
-        columns, top = incoming.columns, F.lit(None).cast("int")
-        if set(order) <= set(columns) & set(before.columns):
-            top = F.struct(*order)
-        whole = F.lit(None).cast("bigint")  # unknown where rows cannot be compared
+        columns = incoming.columns
+        ordered = set(order) <= set(columns) & set(before.columns)  # else rows cannot be compared, and all count as new
+        whole = F.lit(None).cast("bigint")
         if set(columns) == set(before.columns) and not any("map<" in t for t in kinds.values()):
             whole = F.xxhash64(*before.columns, F.array(*[F.col(c).isNull() for c in before.columns]))
         # rows of the load are reduced, and written, once
-        incoming = latest_per_key(incoming, keys, order).select(*columns).withColumns({"_in": top, "_row": whole}).checkpoint()
-        known = before.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], self._digest().alias("_part"),
-                              top.alias("_top"), whole.alias("_whole"))
+        incoming = newest(incoming, keys, order).checkpoint()
+        known = before.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.lit(True).alias("_known"), whole.alias("_whole"),
+                              *([F.col(self.partition_col).alias("_part")] if self.partition_col else []),
+                              *([F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] if ordered else []))
         same = F.lit(True)
         for i, k in enumerate(keys):
             same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
         # what the table has already, or has newer, changes nothing
-        stale = F.coalesce((F.col("_in") < F.col("_top")) | ((F.col("_in") == F.col("_top")) & (F.col("_row") == F.col("_whole"))), F.lit(False))
-        new = incoming.join(known, same, "left").filter(~stale).withColumn(PART, self._digest()).select(*columns, PART, "_part").checkpoint()
+        stale = F.lit(False)
+        if ordered:
+            mine, other = F.struct(*order), F.struct(*[F.col(f"_o{i}").alias(c) for i, c in enumerate(order)])
+            stale = F.coalesce(F.col("_known") & ((mine < other) | ((mine == other) & (whole == F.col("_whole")))), F.lit(False))
+        new = incoming.join(known, same, "left").filter(~stale).withColumn(PART, self._digest()).withColumn(
+            "_part", F.when(F.col("_known"), self._digest("_part"))).select(*columns, PART, "_part").checkpoint()
         touched = {r[0] for r in new.select(PART).union(new.filter("_part is not null").select("_part")).distinct().collect()}
         incoming = new.select(*columns)
         if not touched:
             self._commit(before.schema, old["parts"])
             return
-        merged = latest_per_key(self._rows(old, touched).unionByName(incoming, allowMissingColumns=True), keys, order)
+        merged = newest(self._rows(old, touched).unionByName(incoming, allowMissingColumns=True), keys, order)
         merged = merged.select(*before.columns, *[c for c in incoming.columns if c not in before.columns])
         parts = [p for p in old["parts"] if p[0] not in touched]
         self._commit(merged.schema, parts + self._stage(merged))
