@@ -69,14 +69,16 @@ def similar_groups(df: DataFrame, key: str, text: str, k: int = 5, percent: int
     """(key, class_id, component_id) for every document: the smallest id with an equal set, and the smallest id reachable
     over links of at least ``percent`` % Jaccard similarity.  Texts without words are alone; null ids have neither."""
     source = df.select(F.col(key).cast("bigint").alias("id"), text)
-    sets = shingle_arrays(source, "id", text, k)
+    # the texts are read once; every later step reads these sets, or their numbers alone
     known = ["n", "h1", "h2"]
-    rows = saved(sets.select("id", F.size("sh").alias("n"), F.xxhash64("sh").alias("h1"), F.xxhash64(F.lit(7), "sh").alias("h2")), "rows")
+    sets = saved(shingle_arrays(source, "id", text, k).withColumns({
+        "n": F.size("sh"), "h1": F.xxhash64("sh"), "h2": F.xxhash64(F.lit(7), "sh")}), "sets")
+    rows = sets.select("id", *known)
     classes = saved(rows.filter("n > 0 and id is not null").groupBy(*known).agg(F.min("id").alias("class_id")), "classes")
     own = classes.select(F.col("class_id").alias("id"), "n")
     # dealt by shingle for the count and for the join with it
-    grams = shingle_arrays(source.join(own.select("id"), "id", "left_semi").dropDuplicates(["id"]), "id", text, k).select(
-        "id", F.explode("sh").alias("gram")).repartition("gram")
+    one = sets.select("id", "sh").join(own.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    grams = one.select("id", F.explode("sh").alias("gram")).repartition("gram")
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = saved(grams.join(counts, "gram"), "shared")
     # shingles of one class come first in every order; only how many there are matters
@@ -86,7 +88,7 @@ def similar_groups(df: DataFrame, key: str, text: str, k: int = 5, percent: int
     prefix = shared.join(held.filter("take > 0"), "id").withColumn("_at", place).filter(F.col("_at") <= F.col("take")).select("gram", "id", "n")
     ends = prefix.groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
     buckets = saved(prefix.join(ends, "gram"), "buckets")
-    texts = saved(shingle_arrays(source.join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "id", text, k), "sets")
+    texts = saved(sets.select("id", "sh").join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
     star = buckets.select(F.inline(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("c")),
                                            F.struct(F.col("id").alias("a"), F.col("hi").alias("c"))))).filter("a <> c").distinct()
     tried = saved(star, "pairs")

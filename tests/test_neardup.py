@@ -73,3 +73,24 @@ def test_exact_groups_match_all_pairs(spark):
         assert {i: x["component_id"] for i, x in got.items()} == want
         assert all(x["class_id"] == min(j for j in sets if sets[j] == sets[i]) if sets[i] else x["class_id"] == i for i, x in got.items())
     assert similar_groups(df.filter("false"), "doc_id", "text").count() == 0
+
+
+def test_sets_in_rows_match_and_copies_move_once(spark, monkeypatch):
+    rows, df = _docs(spark)
+    df = df.unionByName(spark.createDataFrame([(2, "p q r s t u"), (None, "a b c"), (10, None), (11, " ")], "doc_id long, text string"))
+    want = {(r["doc_id"], r["gram"]) for r in neardup.shingle_sets(df, "doc_id", "text", 5).collect() if r["doc_id"] is not None}
+    got = [(r["doc_id"], g) for r in neardup.shingle_rows(df, "doc_id", "text", 5).collect() for g in r["sh"]]
+    assert len(got) == len(want) and set(got) == want
+    kept, whole = {}, neardup.saved
+    monkeypatch.setattr(neardup, "saved", lambda d, name: kept.setdefault(name, whole(d, name)))
+    many = spark.createDataFrame([(100 * i + j, rows[j][1]) for i in range(30) for j in (1, 3)], "doc_id long, text string")
+    links = {(r["doc_id"], r["rep"]) for r in neardup.near_duplicates(many, "doc_id", "text").collect()}
+    assert {i for i, _ in links} == {100 * i + j for i in range(30) for j in (1, 3)} - {1} and {r for _, r in links} == {1, 3}
+    assert kept["pairs"].count() == 1 and kept["sets"].count() == 2
+
+
+def test_groups_read_the_texts_once(spark, monkeypatch):
+    from mercato.operators import similarity
+    calls, whole = [], similarity.shingle_arrays
+    monkeypatch.setattr(similarity, "shingle_arrays", lambda *a: calls.append(1) or whole(*a))
+    assert similarity.similar_groups(_docs(spark)[1], "doc_id", "text").count() == 9 and len(calls) == 1
