@@ -141,3 +141,34 @@ def test_successive_halving_beats_the_mean(spark):
     assert draws[rows[-1][1]] == {"maxDepth": 4, "maxIter": 8}
     spread = x.filter("fold = 0").agg(F.stddev_pop("label")).first()[0]
     assert rows[-1][3] < 0.4 * spread
+
+
+def test_even_parts_follow_the_rows(spark):
+    one = spark.range(0, 1000, 1, 1).withColumn("x", F.col("id") % 7)
+    got = M.even_parts(one, rows=100)
+    assert got.rdd.getNumPartitions() == 10 and got.count() == 1000 and got.agg(F.sum("id")).first()[0] == 499500
+    assert max(got.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 200
+    assert M.even_parts(one, rows=1000).rdd.getNumPartitions() == 1
+    assert M.even_parts(one.filter("false"), rows=10).count() == 0
+
+
+def test_permutation_places_rows_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i), float(i % 3), float(2 * i)) for i in range(60)], "k long, a double, b double, label double")
+    calls, whole = [], M.ranked
+    monkeypatch.setattr(M, "ranked", lambda d, order, name: calls.append(name) or whole(d, order, name))
+    got = dict(M.permutation_importance(df, ["a", "b"], ["k"], lambda d: d.withColumn("prediction", 2 * F.col("a"))))
+    assert got["a"] > 1 and got["b"] == 0 and calls.count("_at") == 1 and calls.count("_to") == 2
+
+
+def test_standard_series_match_the_calendar_join(spark):
+    from mercato.operators.relational import reconcile
+    day = lambda m: dt.date(1999 + (m - 1) // 12, (m - 1) % 12 + 1, 1)
+    rows = [(1, day(3), 5.0), (1, day(14), 2.0), (2, day(1), 4.0), (2, day(16), None), (3, None, 7.0), (None, day(2), 3.0)]
+    rows += [(4, day(m), 6.0) for m in range(1, 17)]
+    df = spark.createDataFrame(rows, "k int, m date, v double")
+    z = S.znorm(reconcile(df, ["k"], "m", ["v"], step="1 month", fill=0.0), "k", "v")
+    want = {r["k"]: [x["z"] for x in r["s"]] for r in z.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("m", "z"))).alias("s")).collect()}
+    got = {r["k"]: r["series"] for r in S.standard_series(df, "k", "m", "v").collect()}
+    assert got.keys() == want.keys() == {1, 2, 3, 4} and len(got[1]) == 16
+    assert all(got[k] == pytest.approx(want[k]) for k in want) and not any(got[3] + got[4])
+    assert S.standard_series(df.filter("false"), "k", "m", "v").count() == 0
