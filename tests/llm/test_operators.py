@@ -322,6 +322,59 @@ def test_passage_bands_find_near_equal_windows():
     assert missed == 0
 
 
+def test_window_keys_of_several_texts(prose):
+    seeds = np.random.default_rng(41).integers(1, 2**63, (3, 2), dtype=np.uint64)
+    texts = [prose(1, 60), "one two", prose(2, 9000), "a b c " * 60, "x " * 300, prose(1, 60)]
+    each = [shingles.chain(shingles.batch_words([t])[0], 5) if len(t) > 10 else np.empty(0, np.uint64) for t in texts]
+    cut = np.concatenate(([0], np.cumsum([len(x) for x in each])))
+    key, part, lo, hi = passages.window_keys(np.concatenate(each), seeds, 46, cut)
+    text = np.searchsorted(cut, lo, "right") - 1
+    for i, x in enumerate(each):
+        own = text == i
+        got = zip(key[own], part[own], lo[own] - cut[i], hi[own] - cut[i])
+        assert sorted(got) == sorted(zip(*passages.window_keys(x, seeds, 46)))
+
+
+def test_passage_keys_only_where_texts_share(make, prose, monkeypatch):
+    """Keys are written for windows around what two texts share, also a passage with words changed, not for all text."""
+    written, write = [], passages.saved
+
+    def counted(df, name):
+        out = write(df, name)
+        if "part" in df.columns:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(passages, "saved", counted)
+    passage = prose(600, 54).split()
+    varied = [w for w in passage]
+    varied[27] = "the the"
+    rows = [(i, prose(i, 600), "s") for i in range(30)]
+    rows += [(40, prose(40, 300) + " " + " ".join(passage), "s"), (41, " ".join(varied) + " " + prose(41, 300), "s"),
+             (42, rows[7][1].replace(" ", "  "), "s"), (43, rows[7][1], "s")]
+    got = passages.repeated_passages(make(rows)).collect()
+    assert {(r["doc_id"], r["other_id"], r["n_words"]) for r in got if r["doc_id"] > 41} == {(42, 7, 600), (43, 7, 600)}
+    assert {(r["doc_id"], r["other_id"]) for r in got if r["doc_id"] < 42} == {(41, 40)}
+    assert written and sum(written) < 2000, written
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_near_equal_passages_share_a_run(edits):
+    """Passages that brute force finds alike have ``shared_run`` equal shingles in a row."""
+    r, n, seen = np.random.default_rng(edits), passages.shared_run(46, 80), 0
+    for _ in range(400):
+        a = r.integers(1, 2**63, r.integers(50, 60 * edits), dtype=np.uint64).tolist()
+        b = list(a)
+        for at in sorted(r.integers(0, len(a), edits).tolist(), reverse=True):
+            b[at : at + r.integers(0, 2)] = [[], [b[at]] * 2, [7]][r.integers(0, 3)]
+        a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+        if passages.common_passages(a, b, 5, 50, 80):
+            seen += 1
+            x, y = (shingles.chain(shingles.chain(w, 5), n) for w in (a, b))
+            assert len(np.intersect1d(x, y))
+    assert seen > 50
+
+
 def test_common_passages_merges_runs():
     def shared(a, b):
         return passages.common_passages(*(shingles.batch_words([" ".join(w)])[0] for w in (a, b)), 5, 50, 80)
