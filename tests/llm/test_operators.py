@@ -358,6 +358,40 @@ def test_passage_keys_only_where_texts_share(make, prose, monkeypatch):
     assert written and sum(written) < 2000, written
 
 
+def test_passage_windows_go_on_among_three_texts(make, prose, monkeypatch):
+    """Two texts of a key are compared once, so nothing of their windows is written on; of three unlike ones it is."""
+    after, write = [], passages.saved
+
+    def counted(df, name):
+        out = write(df, name)
+        if "state" in df.columns:
+            after.append(out.filter(out["state"] != passages.PASSAGE).count())
+        return out
+
+    monkeypatch.setattr(passages, "saved", counted)
+    shared = prose(1, 400)
+    rows = [(1, prose(2, 90) + " " + shared, "s"), (2, shared + " " + prose(3, 90), "s")]
+    assert {(r["doc_id"], r["other_id"]) for r in passages.repeated_passages(make(rows)).collect()} == {(2, 1)}
+    assert sum(after) == 0, after
+    line = prose(4, 44)
+    rows = [(i, prose(10 + i, 3) + " " + line + " " + prose(20 + i, 3), "s") for i in range(3)]
+    passages.repeated_passages(make(rows)).collect()
+    assert sum(after) > 0
+
+
+def test_passage_windows_after_a_comparison():
+    """A window goes on once under each key, however many passages begin or end beside the same shingle."""
+    shingles_of = np.array([7, 8, 7, 9, 9, 7, 8, 7, 9, 9] * 10, np.uint64)
+    key, lo, hi = np.array([5, 6, 7], np.int64), np.array([0, 30, 90], np.int32), np.array([60, 40, 99], np.int32)
+    found = [(s, 24, 0, 24, 1.0) for s in (10, 15, 20, 25, 25)]
+    got = list(zip(*(c.tolist() for c in passages._after(found, shingles_of, 5, key, lo, hi))))
+    assert len(got) == len(set(got))
+    assert {x[0] for x in got if x[1:] == (6, 30, 40)} == {passages.SETTLED}
+    assert {x[0] for x in got if x[1:] == (7, 90, 99)} == {passages.UNLIKE}
+    want = {(1, int(shingles_of[s - 1])) for s in (10, 15, 20, 25)} | {(2, int(shingles_of[s + 20])) for s in (10, 15, 20, 25)}
+    assert sum(x[0] == passages.PARTLY and x[2:] == (0, 60) for x in got) == len(want)
+
+
 @pytest.mark.parametrize("edits", [1, 2, 3])
 def test_near_equal_passages_share_a_run(edits):
     """Passages that brute force finds alike have ``shared_run`` equal shingles in a row."""
