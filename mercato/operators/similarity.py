@@ -8,12 +8,14 @@ that still hold several components then compare the members of different compone
 sets.  So no link between different sets is lost, and a large group of alike sets costs a number of comparisons that
 grows with its size, not its square.
 
-Shingles are shuffled by shingle, to count them and to join the counts; those of one class only go no further.  Every intermediate is written to the
-checkpoint folder, so that it is computed once and survives a lost executor.
+Shingles are shuffled by shingle once, a slice of all of them at a time, and counted where they arrive; those of one class
+only go no further.  Every intermediate is written to the checkpoint folder, so that it is computed once and survives a lost
+executor; its shuffle files go as soon as it is written.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, Window
@@ -23,9 +25,20 @@ from mercato.operators.textops import words
 from mercato.session import scratch_path
 
 
+#: Slices of the shingles that are shuffled one after the other.
+SLICES = 4
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` and read it back; the shuffle files of ``df`` go as soon as it is written."""
     path = scratch_path(df.sparkSession, f"similarity/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    key, conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", df.sparkSession.conf
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -75,12 +88,11 @@ def similar_groups(df: DataFrame, key: str, text: str, k: int = 5, percent: int
         "n": F.size("sh"), "h1": F.xxhash64("sh"), "h2": F.xxhash64(F.lit(7), "sh")}), "sets")
     rows = sets.select("id", *known)
     classes = saved(rows.filter("n > 0 and id is not null").groupBy(*known).agg(F.min("id").alias("class_id")), "classes")
-    own = classes.select(F.col("class_id").alias("id"), "n")
-    # dealt by shingle for the count and for the join with it
-    one = sets.select("id", "sh").join(own.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    grams = one.select("id", F.explode("sh").alias("gram")).repartition("gram")
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    shared = saved(grams.join(counts, "gram"), "shared")
+    # one set per class, and per id should texts share one
+    rep = classes.groupBy(F.col("class_id").alias("id")).agg(F.min(F.struct(*known)).alias("_set"))
+    own = rep.select("id", "_set.n")
+    shared = [saved(_shared_grams(sets, rep, known, i), "shared") for i in range(SLICES)]
+    shared = functools.reduce(DataFrame.unionAll, shared)
     # shingles of one class come first in every order; only how many there are matters
     held = shared.groupBy("id").agg(F.count(F.lit(1)).alias("_shared")).join(own, "id").select(
         "id", "n", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("_shared"))).alias("take"))
@@ -88,7 +100,7 @@ def similar_groups(df: DataFrame, key: str, text: str, k: int = 5, percent: int
     prefix = shared.join(held.filter("take > 0"), "id").withColumn("_at", place).filter(F.col("_at") <= F.col("take")).select("gram", "id", "n")
     ends = prefix.groupBy("gram").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
     buckets = saved(prefix.join(ends, "gram"), "buckets")
-    texts = saved(sets.select("id", "sh").join(buckets.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "sets")
+    texts = saved(_class_sets(sets, rep.join(buckets.select("id").distinct(), "id", "left_semi"), known), "sets")
     star = buckets.select(F.inline(F.array(F.struct(F.col("lo").alias("a"), F.col("id").alias("c")),
                                            F.struct(F.col("id").alias("a"), F.col("hi").alias("c"))))).filter("a <> c").distinct()
     tried = saved(star, "pairs")
@@ -109,6 +121,18 @@ def similar_groups(df: DataFrame, key: str, text: str, k: int = 5, percent: int
                                                   F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
+def _class_sets(sets: DataFrame, rep: DataFrame, known: list[str]) -> DataFrame:
+    """(id, sh) of each id of ``rep``, whose set it names by its numbers."""
+    return sets.join(rep, "id").filter(F.struct(*known) == F.col("_set")).select("id", "sh").dropDuplicates(["id"])
+
+
+def _shared_grams(sets: DataFrame, rep: DataFrame, known: list[str], part: int) -> DataFrame:
+    """(gram, id, df) for the shingles of slice ``part`` that several classes have, from one shuffle by shingle."""
+    here = sets.withColumn("sh", F.filter("sh", lambda g: F.pmod(F.shiftright(g, 7), F.lit(SLICES)) == part))
+    grams = _class_sets(here, rep, known).select("id", F.explode("sh").alias("gram")).repartition("gram")
+    return grams.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("gram"))).filter("df > 1").select("gram", "id", "df")
+
+
 def _confirmed(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, c) whose whole sets reach the similarity."""
     p = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(

@@ -1,5 +1,7 @@
 """Links behind documents that are not alike: no earlier copy is lost."""
 
+from pyspark.sql import functions as F
+
 from mercato.operators import neardup
 
 
@@ -94,3 +96,27 @@ def test_groups_read_the_texts_once(spark, monkeypatch):
     calls, whole = [], similarity.shingle_arrays
     monkeypatch.setattr(similarity, "shingle_arrays", lambda *a: calls.append(1) or whole(*a))
     assert similarity.similar_groups(_docs(spark)[1], "doc_id", "text").count() == 9 and len(calls) == 1
+
+
+def test_shingles_move_once_in_slices(spark):
+    """Shingles are shuffled once for their counts and for what is kept of them; the files go when a slice is written."""
+    import glob
+    import os
+
+    from mercato.operators import similarity
+    rows, df = _docs(spark)
+    sets = similarity.shingle_arrays(df.withColumnRenamed("doc_id", "id"), "id", "text", 5).withColumn("n", F.size("sh"))
+    rep = sets.filter("n > 0").groupBy("id").agg(F.min(F.struct("n")).alias("_set"))
+    want = {(g, r["id"]) for r in similarity._class_sets(sets, rep, ["n"]).collect() for g in r["sh"]}
+    many = {g for g, _ in want if len([1 for h, _ in want if h == g]) > 1}
+    got = []
+    plan = similarity._shared_grams(sets, rep, ["n"], 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(gram") == 1
+    for i in range(similarity.SLICES):
+        part = similarity._shared_grams(sets, rep, ["n"], i)
+        got += [(r["gram"], r["id"]) for r in part.collect()]
+    assert len(got) == len(set(got)) and set(got) == {(g, i) for g, i in want if g in many}
+    local = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0]
+    before = len(glob.glob(os.path.join(local, "*", "shuffle_*.data")))
+    similarity.saved(df.repartition(7, "doc_id"), "rows")
+    assert len(glob.glob(os.path.join(local, "*", "shuffle_*.data"))) <= before
