@@ -180,6 +180,8 @@ def _pack(layout: Layout):
             columns = [_plain(t.column(i).combine_chunks()) for i in range(t.num_columns)]
             if np.isnan(columns[-1]).any():
                 raise ValueError("Labels MUST NOT be Null or NaN")
+            if not all(np.isfinite(c).all() for c in columns[:-1]):
+                raise ValueError("Vector values MUST NOT be NaN or Infinity")
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([at], pa.int64()), pa.array([t.num_rows], pa.int32()),
                 pa.array([layout.codes(columns[:-1]).tobytes()], pa.binary()), pa.array([columns[-1].tobytes()], pa.binary())], names=[c.split()[0] for c in _BLOCK.split(", ")])
